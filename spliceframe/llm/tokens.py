@@ -16,8 +16,22 @@ KEPT = 400_000
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
 
+#: Units of these characters alone need no normalizer, and one expression finds their pre-tokens; others take the library's whole way.
+SIMPLE = re.compile(r"[ ]?[!#-&(-;=?-~A-Za-z0-9À-ÖØ-öø-ÿ]+").fullmatch
+#: The two files' pre-tokens of simple units: white space counts (digits run on), or it doesn't (each digit alone).
+SPACED = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ A-Za-z0-9À-ÖØ-öø-ÿ]+").findall
+BARE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^ A-Za-z0-9À-ÖØ-öø-ÿ]+").findall
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte-level alphabet: printable bytes stand for themselves, the others for what follows 255 in order."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class UnitEncoder:
-    """Encodes by the library, remembering units."""
+    """Encodes by the library, remembering units and pre-tokens."""
 
     def __init__(self, path: str, spaces_count: bool):
         from tokenizers import Tokenizer
@@ -25,22 +39,37 @@ class UnitEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model, self.letters = self.library.model, byte_letters()
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.spaces_count = spaces_count
         #: Where white space is dropped, units need not carry it.
         self.split = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+").findall if spaces_count else str.split
 
     def ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def part(self, pretoken: str) -> bytes:
+        found = self.parts.get(pretoken)
+        if found is None:
+            coded = self.model.tokenize(pretoken.encode().decode("latin-1").translate(self.letters))
+            found = self.parts[pretoken] = b"".join([t.id.to_bytes(4, "little") for t in coded])
+        return found
+
     def learn(self, units: list[str]) -> None:
         fresh = [u for u in set(units) if u not in self.known]
         if len(self.known) + len(fresh) > KEPT:
             self.known = {}
             fresh = list(set(units))
-        for k in range(0, len(fresh), 20_000):
-            part = fresh[k : k + 20_000]
-            for unit, coded in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[unit] = np.array(coded.ids, "<u4").tobytes()
+        if len(self.parts) > KEPT:
+            self.parts = {}
+        for unit in fresh:
+            if not SIMPLE(unit):
+                self.known[unit] = np.array(self.ids(unit), "<u4").tobytes()
+            elif self.spaces_count:
+                self.known[unit] = b"".join(map(self.part, SPACED(unit)))
+            else:
+                self.known[unit] = b"".join(map(self.part, BARE(unit.lower())))
 
     def units(self, text: str) -> list[str]:
         return [text] if OTHER_SPACE.search(text) else self.split(text)
