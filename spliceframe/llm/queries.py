@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import oracles
 from .common import table
 
 
@@ -40,7 +41,19 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_toxicity, op6_packing, op7_token_counts, op10_decontamination)}
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import secret_spans
+
+    return secret_spans(table(spark, sf_dir, "documents")).drop("found")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op4_secrets, op5_toxicity, op6_packing, op7_token_counts, op10_decontamination)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_quality_rules": oracles.quality_rules(), "op4_secrets": oracles.secret_spans(), "op10_decontamination": oracles.contamination()}
