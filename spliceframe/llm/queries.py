@@ -28,6 +28,19 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import fit, pii_spans
+
+    docs = table(spark, sf_dir, "documents")
+    return pii_spans(docs, fit(docs)).drop("found")
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_duplicates import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
 
@@ -60,7 +73,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents")).drop("found")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op4_secrets, op5_toxicity, op6_packing, op7_token_counts, op10_decontamination)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op4_secrets, op5_toxicity, op6_packing, op7_token_counts, op8_pii, op9_near_duplicates, op10_decontamination)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {"op1_quality_rules": oracles.quality_rules(), "op4_secrets": oracles.secret_spans(), "op10_decontamination": oracles.contamination()}
