@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
+import zlib
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of a label sample, and code points above which a text isn't taken into it.
-SAMPLE_ROWS, SAMPLE_CHARS = 6000, 60_000
+SAMPLE_ROWS, SAMPLE_CHARS = 4000, 30_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,19 +38,31 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def label_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
-    """(text, 0 or 1) of at most ``rows`` labelled documents that aren't held out, half of them of either label where there are as many.
+def label_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """_id, _text, _y of at most ``rows`` labelled documents that aren't held out, half of them of either label where there are as many.
 
     Labels are sampled by a hash of the id before they meet the texts, so the join broadcasts at most ``rows`` rows
     and reads documents once without a shuffle. Ids with both labels count as 1. Null ids, null labels and texts
-    over ``chars`` code points are left out. The result is ordered by the hash, so it doesn't depend on partitioning.
+    over ``chars`` code points are left out.
     """
     usable = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).where(F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & ~held_out("_id"))
     each = usable.groupBy("_id").agg(F.max("_y").alias("_y"))
     order = F.xxhash64("_id")
     some = each.where("_y = 1").orderBy(order, "_id").limit(rows // 2).unionAll(each.where("_y = 0").orderBy(order, "_id").limit(rows // 2))
-    found = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).where(F.length("_text") <= chars).join(F.broadcast(some), "_id")
-    got = {(r["_id"], r["_text"]): r["_y"] for r in found.select("_id", "_text", "_y").limit(4 * rows).collect()}
-    import xxhash
+    return docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_text")).where(F.length("_text") <= chars).join(F.broadcast(some), "_id").select("_id", "_text", "_y")
+
+
+def trained(sample: DataFrame, train: Callable[[list[tuple[str, int]]], object]) -> object:
+    """The model that ``train`` makes of the sample's (text, label), in one task: the sample is bounded, and the driver gets the model alone.
+
+    Rows are ordered by a hash of id and text, repeated ones dropped, so the model doesn't depend on partitioning.
+    """
+
+    def run(batches):
+        rows = {(i, t): y for b in batches for i, t, y in zip(*(b.column(c).to_pylist() for c in ("_id", "_text", "_y")))}
+        ordered = sorted(rows.items(), key=lambda x: (zlib.crc32(str(x[0][0]).encode()), x[0][1]))
+        model = pickle.dumps(train([(t, y) for (_, t), y in ordered]))
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
-    return [(t, y) for (i, t), y in sorted(got.items(), key=lambda x: (xxhash.xxh64_intdigest(str(x[0][0])), x[0][1]))]
+    found = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else train([])

@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import label_sample
+from .common import held_out, label_sample, trained
 
 THRESHOLD = 0.7
 #: Hashed character n-grams, their lengths and the size of their vectors.
@@ -66,11 +67,11 @@ class ToxicModel:
         return float(1 / (1 + np.exp(-np.clip(best + self.bias, -30, 30))))
 
 
-def telling(own: list[list[int]], docs: np.ndarray, words: np.ndarray, y: np.ndarray) -> np.ndarray:
+def telling(own: list[np.ndarray], docs: np.ndarray, words: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Which buckets' shares of toxic documents differ from the sample's by more than chance."""
     bags = np.unique(docs * len(own) + words)
     counts = np.array([len(g) for g in own])
-    flat, starts = np.concatenate([np.array(g) for g in own]), np.concatenate([[0], np.cumsum(counts)])
+    flat, starts = np.concatenate(own), np.concatenate([[0], np.cumsum(counts)])
     n, k = np.zeros(BUCKETS), np.zeros(BUCKETS)
     d, w = bags // len(own), bags % len(own)
     cut = np.concatenate([[0], np.flatnonzero(np.diff(d)) + 1, [len(d)]])
@@ -100,23 +101,23 @@ def train(sample: list[tuple[str, int]], rounds: int = 80, seed: int = 7) -> Tox
             words += w[k : k + BAG]
             bag_of += [len(doc_of_bag)] * len(w[k : k + BAG])
             doc_of_bag.append(d)
-    y = np.array(labels)
+    y = np.array(labels, np.int64)
     if len(doc_of_bag) == 0 or y.min() == y.max():
         return ToxicModel(np.zeros(BUCKETS), -6.0)
-    own = [grams(w) for w in vocabulary]
+    own = [np.array(grams(w), np.int32) for w in vocabulary]
     whole = np.array([len(g) for g in own])
     told = telling(own, np.array(doc_of_bag)[np.array(bag_of)], np.array(words), y)
-    own = [[x for x in g if told[x]] for g in own]
-    if not any(own):
+    own = [g[told[g]] for g in own]
+    if not any(len(g) for g in own):
         return ToxicModel(np.zeros(BUCKETS), -6.0)
     # words without such an n-gram stand at zero: they count in a bag's size alone
-    place = np.cumsum([bool(g) for g in own]) - 1
-    place[[not g for g in own]] = -1
+    place = np.cumsum([len(g) > 0 for g in own]) - 1
+    place[[len(g) == 0 for g in own]] = -1
     sizes = np.bincount(bag_of)
     here = place[words] >= 0
-    bag_of, words, whole, own = np.array(bag_of)[here], place[words][here], whole[place >= 0], [g for g in own if g]
+    bag_of, words, whole, own = np.array(bag_of)[here], place[words][here], whole[place >= 0], [g for g in own if len(g)]
     counts = np.array([len(g) for g in own])
-    used, flat = np.unique(np.concatenate([np.array(g) for g in own]), return_inverse=True)
+    used, flat = np.unique(np.concatenate(own), return_inverse=True)
     gram_word = np.repeat(np.arange(len(own)), counts)
     # a word is the mean of its n-grams, a bag the mean of its words; both as sorted segments
     pairs, multiple = np.unique(bag_of * len(own) + words, return_counts=True)
@@ -171,7 +172,7 @@ def train(sample: list[tuple[str, int]], rounds: int = 80, seed: int = 7) -> Tox
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     """Learns from at most common.SAMPLE_ROWS labelled documents that aren't held out."""
-    return train(label_sample(docs, labels, "toxic"))
+    return trained(label_sample(docs, labels, "toxic"), train)
 
 
 def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -180,8 +181,6 @@ def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> D
     Null and empty texts, and texts without words, get the score of an empty bag. Rows stand alone: repeated rows and
     null ids stay. Columns of docs by the new names are replaced.
     """
-    from .common import held_out
-
     kept = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
     told = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*kept)
@@ -192,7 +191,5 @@ def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> D
             scores = pa.array([m.score(t) for t in b.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, scores], [*b.schema.names, "score"])
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
     out = rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
     return out.select(*kept, held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
