@@ -67,13 +67,19 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import secret_spans
 
     return secret_spans(table(spark, sf_dir, "documents")).drop("found")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op4_secrets, op5_toxicity, op6_packing, op7_token_counts, op8_pii, op9_near_duplicates, op10_decontamination)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_html_text, op4_secrets, op5_toxicity, op6_packing, op7_token_counts, op8_pii, op9_near_duplicates, op10_decontamination)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {"op1_quality_rules": oracles.quality_rules(), "op4_secrets": oracles.secret_spans(), "op10_decontamination": oracles.contamination()}
