@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from . import queries_core, queries_models, queries_scores
+from .catalog import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "flagship", "queries_core", "queries_models", "queries_scores"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["cohort_recurrence"](spark, sf_dir)
+    """Recurrent junctions of the cohort with their nearest gene."""
+    return QUERIES["nearest_same_strand"](spark, sf_dir)
+
+
