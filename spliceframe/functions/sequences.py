@@ -52,7 +52,7 @@ def longest_orf(seq: Column) -> Column:
         bounds = F.concat(F.array(F.lit(-1)), stops, F.array(F.size(c)))
         pieces = F.transform(
             F.sequence(F.lit(1), F.size(bounds) - 1),
-            lambda k: F.struct(F.element_at(F.filter(starts, lambda s: s > F.element_at(bounds, k)), 1).alias("s"), F.element_at(bounds, k + 1).alias("e"), (k < F.size(bounds) - 1).alias("complete")),
+            lambda k: F.struct(F.get(F.filter(starts, lambda s: s > F.element_at(bounds, k)), F.lit(0)).alias("s"), F.element_at(bounds, k + 1).alias("e"), (k < F.size(bounds) - 1).alias("complete")),
         )
         return F.transform(F.filter(pieces, lambda x: x["s"].isNotNull() & (x["s"] < x["e"])), lambda x: F.struct((x["s"] - x["e"]).alias("n"), F.lit(frame).alias("frame"), (x["s"] * 3 + frame).alias("start"), x["complete"].alias("complete")))
 

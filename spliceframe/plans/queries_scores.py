@@ -1 +1,249 @@
+"""Queries over gates, statistics, sequences and ranks."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import sequences as S
+from ..operators import gates, harvest, ranking
+from .bridge import ctes, view
+from .catalog import query
+
+_GATES = [("class", "obs_id % 11 <> 0"), ("min_exons", "reads >= 40"), ("distance", "obs_id % 13 <> 0"), ("discontinuity", "valley <= least(1.0, 0.1 * depth) AND gap <= least(1.0, 0.1 * depth)"), ("no_bridge", "bridge < 2"), ("detect", "tpm >= 0.1")]
+_first = "CASE " + " ".join(f"WHEN NOT ({t}) THEN '{n}'" for n, t in _GATES) + " END"
+_trail = "CASE " + " ".join(f"WHEN NOT ({t}) THEN '{','.join(x for x, _ in _GATES[:k])}'" for k, (n, t) in enumerate(_GATES)) + f" ELSE '{','.join(n for n, _ in _GATES)}' END"
+
+
+@query("gate_cascade", ctes("obs") + f" SELECT obs_id, {_trail} AS gates_passed, {_first} AS failed_gate FROM obs")
+def gate_cascade(spark: SparkSession, d: str) -> DataFrame:
+    tests = [(n, F.expr(t.replace("1.0", "1.0D").replace("0.1 ", "0.1D "))) for n, t in _GATES]
+    return gates.cascade(view(spark, d, "obs"), tests).select("obs_id", "gates_passed", "failed_gate")
+
+
+@query("funnel_counts", ctes("obs") + f", f AS (SELECT *, {_first} AS failed FROM obs) SELECT failed, count(*) AS n, count(DISTINCT locus_id) AS n_loci FROM f GROUP BY failed")
+def funnel_counts(spark: SparkSession, d: str) -> DataFrame:
+    obs = view(spark, d, "obs")
+    return gate_cascade(spark, d).join(obs.select("obs_id", "locus_id"), "obs_id").groupBy(F.col("failed_gate").alias("failed")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("locus_id").alias("n_loci"))
+
+
+@query("contrast_stats", ctes("obs") + " SELECT locus_id, max(tpm) FILTER (grp = 'control') AS control_max, median(tpm) FILTER (grp = 'treat') AS treat_median, count(*) FILTER (grp = 'treat' AND tpm >= 0.1) AS n_detected FROM obs GROUP BY locus_id")
+def contrast_stats(spark: SparkSession, d: str) -> DataFrame:
+    treat = F.col("grp") == "treat"
+    return view(spark, d, "obs").groupBy("locus_id").agg(F.max(F.when(~treat, F.col("tpm"))).alias("control_max"), F.median(F.when(treat, F.col("tpm"))).alias("treat_median"), F.count_if(treat & (F.col("tpm") >= 0.1)).alias("n_detected"))
+
+
+@query("vector_sum", ctes("obs") + """, v AS (SELECT locus_id, k, sum(CAST(x AS BIGINT)) AS n FROM (SELECT locus_id, unnest(string_split(support_text, ',')) AS x, unnest(range(0, 3)) AS k FROM obs WHERE tpm >= 0.1) GROUP BY ALL)
+ SELECT locus_id, string_agg(n, ',' ORDER BY k) AS junction_support, CAST(min(n) AS BIGINT) AS junction_min FROM v GROUP BY locus_id""")
+def vector_sum(spark: SparkSession, d: str) -> DataFrame:
+    x = view(spark, d, "obs").where("tpm >= 0.1").select("locus_id", F.posexplode(F.split("support_text", ",")).alias("k", "x"))
+    n = x.groupBy("locus_id", "k").agg(F.sum(F.col("x").cast("long")).alias("n"))
+    out = n.groupBy("locus_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "n"))), lambda v: v["n"].cast("string")), ",").alias("junction_support"))
+    return out.withColumn("junction_min", ranking.junction_min(F.col("junction_support")))
+
+
+@query("validate_arrays", ctes("obs") + " SELECT obs_id, len(string_split(support_text, ',')) = 3 AS good FROM obs WHERE obs_id % 4 = 0")
+def validate_arrays(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "obs").where("obs_id % 4 = 0").select("obs_id", (F.size(F.filter(F.split("support_text", ","), lambda x: x.try_cast("long").isNotNull())) == 3).alias("good"))
+
+
+@query("coerce_values", ctes("obs") + " SELECT obs_id, CASE WHEN obs_id % 3 = 0 THEN NULL ELSE tpm END AS value, obs_id % 2 = 0 AS flag FROM obs")
+def coerce_values(spark: SparkSession, d: str) -> DataFrame:
+    raw = view(spark, d, "obs").select("obs_id", F.expr("CASE WHEN obs_id % 3 = 0 THEN 'NA' ELSE cast(tpm AS string) END").alias("v"), F.expr("CASE WHEN obs_id % 2 = 0 THEN ' True' ELSE 'no' END").alias("f"))
+    return raw.select("obs_id", F.col("v").try_cast("double").alias("value"), F.lower(F.trim("f")).isin("true", "1", "yes").alias("flag"))
+
+
+@query("left_join_refresh", ctes("loci", "obs") + ", s AS (SELECT locus_id, min(padj) AS padj FROM obs GROUP BY locus_id) SELECT loci.locus_id, chrom, s.padj FROM loci LEFT JOIN s USING (locus_id)")
+def left_join_refresh(spark: SparkSession, d: str) -> DataFrame:
+    stats = view(spark, d, "obs").groupBy("locus_id").agg(F.min("padj").alias("padj"))
+    old = view(spark, d, "loci").select("locus_id", "chrom", F.lit(-1.0).alias("padj"))
+    return old.drop("padj").join(stats, "locus_id", "left").select("locus_id", "chrom", "padj")
+
+
+_SHARED = ", sh AS (SELECT locus_id, max(tpm) AS residual_control_max FROM obs WHERE grp = 'control' GROUP BY locus_id HAVING max(tpm) > 2)"
+
+
+def _shared(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "obs").where("grp = 'control'").groupBy("locus_id").agg(F.max("tpm").alias("residual_control_max")).where("residual_control_max > 2")
+
+
+@query("shared_semi", ctes("loci", "obs") + _SHARED + " SELECT loci.*, residual_control_max FROM loci JOIN sh USING (locus_id)")
+def shared_semi(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "loci").join(_shared(spark, d), "locus_id")
+
+
+@query("exclude_shared_anti", ctes("loci", "obs") + _SHARED + " SELECT * FROM loci WHERE locus_id NOT IN (SELECT locus_id FROM sh)")
+def exclude_shared_anti(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "loci").join(_shared(spark, d), "locus_id", "left_anti")
+
+
+@query("membership_flags", ctes("loci", "obs") + _SHARED + " SELECT locus_id, sh.locus_id IS NOT NULL AS in_shared, EXISTS (SELECT 1 FROM obs o WHERE o.locus_id = loci.locus_id AND padj < 0.1) AS in_candidates FROM loci LEFT JOIN sh USING (locus_id)")
+def membership_flags(spark: SparkSession, d: str) -> DataFrame:
+    shared = _shared(spark, d).select("locus_id", F.lit(True).alias("in_shared"))
+    found = view(spark, d, "obs").where("padj < 0.1").select("locus_id", F.lit(True).alias("in_candidates")).distinct()
+    out = view(spark, d, "loci").select("locus_id").join(shared, "locus_id", "left").join(found, "locus_id", "left")
+    return out.select("locus_id", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("in_shared", "in_candidates")])
+
+
+@query("de_status", ctes("obs") + " SELECT obs_id, CASE WHEN lfc >= 0.5 AND padj < 0.05 THEN 'wald' WHEN lfc >= 0.5 AND padj IS NULL AND pvalue IS NOT NULL THEN 'low_count' ELSE '' END AS de_status FROM obs")
+def de_status(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "obs").select("obs_id", gates.de_status(F.col("lfc"), F.col("pvalue"), F.col("padj")).alias("de_status"))
+
+
+@query("bh_adjust", ctes("obs") + """, r AS (SELECT obs_id, pvalue * count(*) OVER () / row_number() OVER (ORDER BY pvalue, obs_id) AS raw, row_number() OVER (ORDER BY pvalue, obs_id) AS k FROM obs WHERE pvalue IS NOT NULL),
+ b AS (SELECT obs_id, least(1.0, min(raw) OVER (ORDER BY k DESC)) AS bh FROM r) SELECT obs_id, round(bh, 9) AS bh FROM obs LEFT JOIN b USING (obs_id)""")
+def bh_adjust(spark: SparkSession, d: str) -> DataFrame:
+    return gates.benjamini_hochberg(view(spark, d, "obs"), "obs_id").select("obs_id", F.round("bh", 9).alias("bh"))
+
+
+@query("reverse_complement", ctes("seqs") + " SELECT seq_id, reverse(translate(seq, 'ACGTU', 'TGCAA')) AS rc FROM seqs")
+def reverse_complement(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "seqs").select("seq_id", S.reverse_complement(F.col("seq")).alias("rc"))
+
+
+@query("seq_fetch_substring", ctes("seqs") + " SELECT seq_id, substr(seq, CAST(11 + seq_id % 50 AS INT), 30) AS part FROM seqs WHERE length(seq) >= 100")
+def seq_fetch_substring(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "seqs").where(F.length("seq") >= 100).select("seq_id", F.substring("seq", (F.col("seq_id") % 50 + 11).cast("int"), F.lit(30)).alias("part"))
+
+
+@query("spliced_sequence", ctes("seqs") + " SELECT seq_id, CASE WHEN seq_id % 2 = 0 THEN substr(seq, 1, 20) || substr(seq, 41, 20) ELSE reverse(translate(substr(seq, 1, 20) || substr(seq, 41, 20), 'ACGTU', 'TGCAA')) END AS spliced FROM seqs")
+def spliced_sequence(spark: SparkSession, d: str) -> DataFrame:
+    exons = F.array(F.struct(F.lit(41).alias("s"), F.lit(60).alias("e")), F.struct(F.lit(1).alias("s"), F.lit(20).alias("e")))
+    joined = F.array_join(F.transform(F.array_sort(exons), lambda x: F.substring(F.col("seq"), x["s"], x["e"] - x["s"] + 1)), "")
+    return view(spark, d, "seqs").select("seq_id", F.when(F.col("seq_id") % 2 == 0, joined).otherwise(S.reverse_complement(joined)).alias("spliced"))
+
+
+_CODONS = ", c AS (SELECT seq_id, f, k, substr(seq, CAST(f + 3 * k + 1 AS INT), 3) AS c FROM (SELECT seq_id, seq, f, unnest(range(0, (length(seq) - f) // 3)) AS k FROM seqs CROSS JOIN (SELECT unnest(range(0, 3)) AS f)))"
+_AA = f"substr('{S.AMINO}', CAST((instr('TCAG', substr(c, 1, 1)) - 1) * 16 + (instr('TCAG', substr(c, 2, 1)) - 1) * 4 + instr('TCAG', substr(c, 3, 1)) AS INT), 1)"
+
+
+@query("translate_codons", ctes("seqs") + _CODONS + f" SELECT seq_id, coalesce(string_agg(nullif({_AA}, '*'), '' ORDER BY k), '') AS aa FROM c WHERE f = 0 GROUP BY seq_id")
+def translate_codons(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "seqs").where(F.length("seq") >= 3).select("seq_id", S.translate(F.col("seq")).alias("aa"))
+
+
+_ORF = _CODONS + """, s AS (SELECT *, min(CASE WHEN c IN ('TAA', 'TAG', 'TGA') THEN k END) OVER (PARTITION BY seq_id, f ORDER BY k ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop, max(k) OVER (PARTITION BY seq_id, f) AS top FROM c),
+ o AS (SELECT seq_id, f, k, coalesce(stop, top + 1) - k AS aa, stop IS NOT NULL AS complete, row_number() OVER (PARTITION BY seq_id ORDER BY coalesce(stop, top + 1) - k DESC, f, k) AS r FROM s WHERE c = 'ATG')"""
+
+
+@query("longest_orf", ctes("seqs") + _ORF + " SELECT seq_id, CAST(aa AS INT) AS aa, CAST(f AS INT) AS frame, CAST(3 * k + f AS INT) AS start, complete FROM o WHERE r = 1")
+def longest_orf(spark: SparkSession, d: str) -> DataFrame:
+    x = view(spark, d, "seqs").withColumn("o", S.longest_orf(F.col("seq"))).where("o IS NOT NULL")
+    return x.select("seq_id", F.col("o.aa").cast("int").alias("aa"), F.col("o.frame").alias("frame"), F.col("o.start").cast("int").alias("start"), F.col("o.complete").alias("complete"))
+
+
+def _cases(value: str, cuts: tuple, scores: tuple) -> str:
+    return "CASE " + " ".join(f"WHEN {value} >= {c} THEN {s}" for c, s in zip(cuts, scores)) + f" ELSE {scores[-1]} END"
+
+
+_fick = " + ".join(
+    f"({_cases(f'greatest({b}0, {b}1, {b}2) / CAST(least({b}0, {b}1, {b}2) + 1 AS DOUBLE)', S.POSITION_CUTS, S.POSITION[b])}) * {S.POSITION_WEIGHT[b]} + ({_cases(f'({b}0 + {b}1 + {b}2) / CAST(n AS DOUBLE)', S.CONTENT_CUTS, S.CONTENT[b])}) * {S.CONTENT_WEIGHT[b]}" for b in "ACGT"
+)
+
+
+@query("fickett_score", ctes("seqs") + ", b AS (SELECT seq_id, length(seq) AS n, unnest(string_split(seq, '')) AS c, unnest(range(0, length(seq))) % 3 AS k, seq FROM seqs WHERE length(seq) >= 2), t AS (SELECT seq_id, any_value(n) AS n, " + ", ".join(f"count(*) FILTER (c = '{b}' AND k = {k}) AS {b}{k}" for b in "ACGT" for k in range(3)) + f" FROM b GROUP BY seq_id) SELECT seq_id, round({_fick}, 6) AS fickett FROM t")
+def fickett_score(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "seqs").where(F.length("seq") >= 2).select("seq_id", F.round(S.fickett(F.col("seq")), 6).alias("fickett"))
+
+
+@query("hexamer_llr", ctes("seqs") + """, h AS (SELECT seq_id, substr(seq, CAST(k AS INT), 6) AS x FROM (SELECT seq_id, seq, unnest(range(1, length(seq) - 4, 3)) AS k FROM seqs)), t AS (SELECT DISTINCT x, ln(((length(replace(x, 'G', '')) + 1) / CAST(7 AS DOUBLE) + 1e-8) / ((length(replace(x, 'A', '')) + 1) / CAST(7 AS DOUBLE) + 1e-8)) / ln(2) AS llr FROM h WHERE x NOT LIKE '%CC%')
+ SELECT seq_id, round(avg(llr), 6) AS coding_score FROM h JOIN t USING (x) GROUP BY seq_id""")
+def hexamer_llr(spark: SparkSession, d: str) -> DataFrame:
+    seqs = view(spark, d, "seqs").where(F.length("seq") >= 6)
+    h = seqs.select("seq_id", F.explode(F.expr("transform(sequence(1, length(seq) - 5, 3), k -> substring(seq, k, 6))")).alias("x"))
+    share = lambda b: (F.length(F.replace("x", F.lit(b), F.lit(""))) + 1) / F.lit(7.0) + 1e-8
+    table = h.select("x").distinct().where(~F.col("x").contains("CC")).withColumn("llr", F.log2(share("G") / share("A")))
+    return h.join(table, "x").groupBy("seq_id").agg(F.round(F.avg("llr"), 6).alias("coding_score"))
+
+
+@query("splice_fraction", ctes("seqs") + """, i AS (SELECT seq_id, seq, k * 13 + 1 AS s, k * 13 + 1 + (seq_id + k) % 12 AS e, seq_id % 2 AS m FROM (SELECT *, unnest(range(0, 8)) AS k FROM seqs WHERE length(seq) >= 130)),
+ t AS (SELECT seq_id, e >= s + 3 AS long, CASE WHEN m = 1 THEN reverse(translate(substr(seq, CAST(e - 1 AS INT), 2), 'ACGT', 'TGCA')) ELSE substr(seq, CAST(s AS INT), 2) END AS don, CASE WHEN m = 1 THEN reverse(translate(substr(seq, CAST(s AS INT), 2), 'ACGT', 'TGCA')) ELSE substr(seq, CAST(e - 1 AS INT), 2) END AS acc FROM i)
+ SELECT seq_id, round(count(*) FILTER (long AND don IN ('GT', 'GC') AND acc = 'AG') / CAST(8 AS DOUBLE), 6) AS canonical FROM t GROUP BY seq_id""")
+def splice_fraction(spark: SparkSession, d: str) -> DataFrame:
+    x = view(spark, d, "seqs").where(F.length("seq") >= 130).withColumn("strand", F.when(F.col("seq_id") % 2 == 1, "-").otherwise("+"))
+    start = lambda k: (k * 13 + 1).cast("int")
+    ok = F.filter(F.sequence(F.lit(0), F.lit(7)), lambda k: S.canonical_splice(F.col("seq"), start(k), (start(k) + (F.col("seq_id") + k) % 12).cast("int"), F.col("strand")))
+    return x.select("seq_id", F.round(F.size(ok) / F.lit(8.0), 6).alias("canonical"))
+
+
+@query("coding_label", ctes("obs") + " SELECT obs_id, CASE WHEN lfc > 1 THEN 'coding' WHEN lfc < -1 THEN 'noncoding' ELSE 'ambiguous' END AS label FROM obs")
+def coding_label(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "obs").select("obs_id", S.coding_label(F.col("lfc"), -1.0, 1.0).alias("label"))
+
+
+@query("chrom_key", ctes("loci") + " SELECT locus_id, CASE c_ WHEN 'chr3' THEN 'MT' ELSE substr(c_, 4) END AS chrom_key FROM (SELECT locus_id, chrom AS c_ FROM loci)")
+def chrom_key(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "loci").select("locus_id", S.chrom_key(F.expr("CASE chrom WHEN 'chr3' THEN 'ChrM' ELSE chrom END")).alias("chrom_key"))
+
+
+@query("chrom_class", ctes("loci") + " SELECT locus_id, CASE n_exons WHEN 1 THEN 'primary' WHEN 2 THEN 'chrY' WHEN 3 THEN 'unplaced' ELSE 'primary' END AS kind FROM loci")
+def chrom_class(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "loci").select("locus_id", ranking.chrom_class(F.expr("CASE n_exons WHEN 1 THEN chrom WHEN 2 THEN 'y' WHEN 3 THEN 'chrUn_1' ELSE 'CHRX' END")).alias("kind"))
+
+
+@query("exon_structure_codec", ctes("loci") + """ SELECT locus_id, concat("start", '-', "start" + 10, ',', "start" + 30, '-', "end") AS exon_structure FROM loci""")
+def exon_structure_codec(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions.exons import decode, encode
+
+    text = view(spark, d, "loci").select("locus_id", F.expr("concat(`end`, '-', start + 30, ',junk,', start, '-', start + 10)").alias("t"))
+    return text.select("locus_id", encode(decode(F.col("t"))).alias("exon_structure"))
+
+
+@query("rebuild_exons", ctes("loci") + """ SELECT locus_id, concat(greatest(1, "start" - 30), '-', "start" - 1, ',', "start" + 11, '-', "start" + 19, ',', "end" + 1, '-', "end" + 30) AS exons FROM loci""")
+def rebuild_exons(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions.exons import encode, rebuild
+
+    chain = F.expr("array(named_struct('start', start, 'end', start + 10), named_struct('start', start + 20, 'end', `end`))")
+    return view(spark, d, "loci").select("locus_id", encode(rebuild(chain, F.greatest(F.lit(1).cast("long"), F.col("start") - 30), F.col("end") + 30)).alias("exons"))
+
+
+_SCORE = """, x AS (SELECT locus_id, chrom, "start", "end", n_exons, "end" - "start" + 1 AS length_nt, CAST(substr(locus_id, 2) AS BIGINT) AS c FROM loci),
+ y AS (SELECT *, c % 3 AS js, CAST(c * 7 % 300 AS INT) AS orf, c % 2 = 0 AS complete, (c % 9 - 4) / CAST(5 AS DOUBLE) AS cs, c * 97 % 20000 AS nd, c * 31 % 900 AS na, c % 7 AS tn FROM x),
+ z AS (SELECT locus_id, chrom, "start", n_exons, length_nt, round(20 + CASE WHEN n_exons >= 3 THEN 25 WHEN n_exons = 2 THEN 12 ELSE 0 END + CASE WHEN n_exons < 2 THEN 0 WHEN js >= 2 THEN 15 WHEN js = 1 THEN 5 ELSE -25 END + CASE WHEN length_nt BETWEEN 200 AND 4000 THEN 8 ELSE 0 END
+ + CASE WHEN orf >= 50 THEN least(20, orf / CAST(20 AS DOUBLE)) + CASE WHEN complete THEN 4 ELSE 0 END ELSE 0 END + CASE WHEN cs > 0.3 THEN 15 WHEN cs > 0 THEN 8 WHEN cs < -0.3 THEN -5 ELSE 0 END + CASE WHEN nd >= 5000 THEN least(10, log10(nd + 1)) ELSE 0 END + CASE WHEN na > 0 AND na < 200 THEN -8 ELSE 0 END + CASE WHEN tn >= 5 THEN 5 ELSE 0 END, 6) AS score,
+ concat_ws(',', CASE WHEN n_exons < 2 THEN 'monoexon' END, CASE WHEN n_exons >= 2 AND js = 1 THEN 'weak_splice' END, CASE WHEN n_exons >= 2 AND js = 0 THEN 'no_splice' END, CASE WHEN orf < 50 THEN 'no_orf' END, CASE WHEN na > 0 AND na < 200 THEN 'close_any' END) AS gene_flags, c FROM y)"""
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    x = view(spark, d, "loci").withColumn("c", F.expr("CAST(substr(locus_id, 2) AS BIGINT)")).withColumn("length_nt", F.expr("`end` - start + 1"))
+    cs = F.expr("(c % 9 - 4) / 5.0D")
+    x = x.withColumns({"junction_support": F.expr("concat(c % 3 + 4, ', ', c % 3, ',x')"), "longest_orf_aa": F.expr("CAST(c * 7 % 300 AS INT)"), "orf_complete": F.expr("c % 2 = 0"), "coding_score": cs, "coding_label": F.when(cs > 0.3, "coding").otherwise("ambiguous"), "nearest_distance_bp": F.expr("c * 97 % 20000"), "nearest_any_distance_bp": F.expr("c * 31 % 900"), "treat_n_detected": F.expr("c % 7")})
+    return ranking.stage_one(x)
+
+
+@query("gene_score_stage1", ctes("loci") + _SCORE + " SELECT locus_id, score, gene_flags FROM z")
+def gene_score_stage1(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).select("locus_id", "score", "gene_flags")
+
+
+@query("gene_score_stage2", ctes("loci") + _SCORE + """, p AS (SELECT *, CASE c % 5 WHEN 0 THEN 'Integrase core' WHEN 1 THEN 'Ribosomal protein' WHEN 2 THEN 'Zinc finger' ELSE '' END AS pfam, c % 20 / CAST(10 AS DOUBLE) AS phylop FROM z)
+ SELECT locus_id, round(score + CASE WHEN c % 5 = 0 THEN -50 WHEN n_exons = 1 AND c % 5 = 1 THEN CASE WHEN phylop >= 0.8 THEN -38 ELSE -30 END WHEN n_exons = 1 AND phylop >= 1.5 AND pfam <> '' THEN -12 ELSE 0 END, 6) AS score2,
+ CASE WHEN c % 5 = 0 THEN 'te' WHEN n_exons = 1 AND c % 5 = 1 THEN 'processed' WHEN n_exons = 1 AND phylop >= 1.5 AND pfam <> '' THEN 'processed_like' ELSE '' END AS flag2 FROM p""")
+def gene_score_stage2(spark: SparkSession, d: str) -> DataFrame:
+    pfam = F.expr("CASE c % 5 WHEN 0 THEN 'Integrase core' WHEN 1 THEN 'Ribosomal protein' WHEN 2 THEN 'Zinc finger' ELSE '' END")
+    return ranking.stage_two(_scored(spark, d).withColumns({"pfam": pfam, "phylop": F.expr("c % 20 / 10.0D")})).select("locus_id", "score2", "flag2")
+
+
+@query("gene_rank", ctes("loci") + _SCORE + " SELECT locus_id, row_number() OVER (ORDER BY score DESC, n_exons DESC, length_nt DESC, locus_id) AS rank FROM z")
+def gene_rank(spark: SparkSession, d: str) -> DataFrame:
+    order = [F.col("score").desc(), F.col("n_exons").desc(), F.col("length_nt").desc(), F.col("locus_id")]
+    return harvest.global_rank(_scored(spark, d).select("locus_id", "score", "n_exons", "length_nt"), order, "rank").select("locus_id", "rank")
+
+
+@query("topk", ctes("loci") + _SCORE + " SELECT locus_id, score FROM z ORDER BY score DESC, n_exons DESC, length_nt DESC, locus_id LIMIT 30")
+def topk(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).orderBy(F.col("score").desc(), F.col("n_exons").desc(), F.col("length_nt").desc(), F.col("locus_id")).limit(30).select("locus_id", "score")
+
+
+@query("hit_filter_topn", """WITH h AS (SELECT user_id, value / CAST(10000 AS DOUBLE) AS evalue, concat('PF', event_id) AS accession FROM events WHERE value / CAST(10000 AS DOUBLE) <= 0.01),
+ r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY evalue, accession) AS k FROM h) SELECT user_id, string_agg(accession, ',' ORDER BY k) AS hits FROM r WHERE k <= 5 GROUP BY user_id""")
+def hit_filter_topn(spark: SparkSession, d: str) -> DataFrame:
+    hits = spark.read.parquet(f"{d}/events.parquet").select("user_id", F.expr("value / 10000.0D").alias("evalue"), F.concat(F.lit("PF"), F.col("event_id").cast("string"), F.lit(".12")).alias("accession"))
+    return ranking.top_hits(hits, "user_id").select("user_id", F.array_join(F.col("hits.accession"), ",").alias("hits"))
+
+
+@query("aligner_family", ctes("genes") + " SELECT gene_id, CASE WHEN n_exons = 1 THEN 'STAR' WHEN n_exons = 2 THEN 'forbidden' WHEN n_exons = 3 THEN 'HISAT2' ELSE 'other' END AS family FROM genes")
+def aligner_family(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions.headers import aligner_family as family
+
+    return view(spark, d, "genes").select("gene_id", family(F.expr("CASE n_exons WHEN 1 THEN 'star STAR' WHEN 2 THEN 'bowtie2 x' WHEN 3 THEN 'hisat2 y' ELSE 'bwa mem' END")).alias("family"))
