@@ -54,7 +54,7 @@ class FmIndex:
         n = len(text)
         suffixes = self.sort(text)
         self.bwt = text[suffixes - 1]
-        self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=int(text.max()) + 2))])
+        self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=int(text.max()) + 1))])
         self.sampled = suffixes % SAMPLED == 0
         self.place = suffixes
         self.place[~self.sampled] = -1
