@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Standard genetic code in TCAG order of the three bases. Fixed values.
@@ -38,26 +38,19 @@ def translate(seq: Column) -> Column:
     return F.translate(F.array_join(F.transform(codons(seq), one), ""), "*", "")
 
 
-def longest_orf(seq: Column) -> Column:
-    """struct<aa, frame, start, complete>: ATG to a stop or the end; the longest, then the least frame, then the first.
+def longest_orfs(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
+    """key, aa, frame, start and complete: ATG to a stop or the end; the longest, then the least frame, then the first.
 
-    Each ATG's stop is the next stop codon of its frame: a codon array's slice from there up to its first stop.
+    A row for each codon; an ATG's stop is the last one seen when its frame is read from the end.
     """
-
-    def of_frame(frame: int) -> Column:
-        c = codons(seq, frame)
-        stops = F.filter(F.transform(c, lambda x, i: F.when(x.isin(*STOPS), i)), lambda x: x.isNotNull())
-        # after each stop the first ATG gives the longest frame there
-        starts = F.filter(F.transform(c, lambda x, i: F.when(x == "ATG", i)), lambda x: x.isNotNull())
-        bounds = F.concat(F.array(F.lit(-1)), stops, F.array(F.size(c)))
-        pieces = F.transform(
-            F.sequence(F.lit(1), F.size(bounds) - 1),
-            lambda k: F.struct(F.get(F.filter(starts, lambda s: s > F.element_at(bounds, k)), F.lit(0)).alias("s"), F.element_at(bounds, k + 1).alias("e"), (k < F.size(bounds) - 1).alias("complete")),
-        )
-        return F.transform(F.filter(pieces, lambda x: x["s"].isNotNull() & (x["s"] < x["e"])), lambda x: F.struct((x["s"] - x["e"]).alias("n"), F.lit(frame).alias("frame"), (x["s"] * 3 + frame).alias("start"), x["complete"].alias("complete")))
-
-    best = F.array_min(F.concat(*[of_frame(f) for f in range(3)]))
-    return F.when(best.isNotNull(), F.struct((-best["n"]).alias("aa"), best["frame"].alias("frame"), best["start"].alias("start"), best["complete"].alias("complete")))
+    frames = F.explode(F.array(*[F.struct(F.lit(f).alias("frame"), codons(F.col(seq), f).alias("c")) for f in range(3)]))
+    c = df.select(key, frames.alias("x")).select(key, "x.frame", F.size("x.c").alias("n"), F.posexplode("x.c").alias("k", "codon"))
+    back = Window.partitionBy(key, "frame").orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    stop = F.last(F.when(F.col("codon").isin(*STOPS), F.col("k")), ignorenulls=True).over(back)
+    found = c.withColumn("stop", stop).where("codon = 'ATG'")
+    best = F.min(F.struct((F.col("k") - F.coalesce("stop", "n")).alias("a"), "frame", "k", F.col("stop").isNotNull().alias("complete")))
+    out = found.groupBy(key).agg(best.alias("o"))
+    return out.select(key, (-F.col("o.a")).alias("aa"), F.col("o.frame").alias("frame"), (F.col("o.k") * 3 + F.col("o.frame")).alias("start"), F.col("o.complete").alias("complete"))
 
 
 def _ladder(value: Column, cuts: tuple, scores: tuple) -> Column:

@@ -128,8 +128,7 @@ _ORF = _CODONS + """, s AS (SELECT *, min(CASE WHEN c IN ('TAA', 'TAG', 'TGA') T
 
 @query("longest_orf", ctes("seqs") + _ORF + " SELECT seq_id, CAST(aa AS INT) AS aa, CAST(f AS INT) AS frame, CAST(3 * k + f AS INT) AS start, complete FROM o WHERE r = 1")
 def longest_orf(spark: SparkSession, d: str) -> DataFrame:
-    x = view(spark, d, "seqs").withColumn("o", S.longest_orf(F.col("seq"))).where("o IS NOT NULL")
-    return x.select("seq_id", F.col("o.aa").cast("int").alias("aa"), F.col("o.frame").alias("frame"), F.col("o.start").cast("int").alias("start"), F.col("o.complete").alias("complete"))
+    return S.longest_orfs(view(spark, d, "seqs"), "seq_id")
 
 
 def _cases(value: str, cuts: tuple, scores: tuple) -> str:

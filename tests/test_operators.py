@@ -87,9 +87,10 @@ def test_cascade_stops_at_the_first_failure(spark):
 def test_longest_orf_by_scan(spark):
     r = random.Random(8)
     seqs = ["".join(r.choice("ACGT") for _ in range(r.randint(0, 90))) for _ in range(120)]
-    df = spark.createDataFrame(list(enumerate(seqs)), "k int, seq string").select("k", sequences.longest_orf(F.col("seq")).alias("o"))
-    for row in df.collect():
-        s, best = seqs[row["k"]], None
+    df = spark.createDataFrame(list(enumerate(seqs)), "k int, seq string")
+    got = {r["k"]: (-r["aa"], r["frame"], r["start"], r["complete"]) for r in sequences.longest_orfs(df, "k").collect()}
+    for number, s in enumerate(seqs):
+        best = None
         for f in range(3):
             c = [s[i : i + 3] for i in range(f, len(s) - 2, 3)]
             for k, x in enumerate(c):
@@ -97,8 +98,7 @@ def test_longest_orf_by_scan(spark):
                     stop = next((j for j in range(k, len(c)) if c[j] in sequences.STOPS), None)
                     cand = (-((stop if stop is not None else len(c)) - k), f, 3 * k + f, stop is not None)
                     best = min(best, cand) if best else cand
-        o = row["o"]
-        assert (None if o is None else (-o["aa"], o["frame"], o["start"], o["complete"])) == best
+        assert got.get(number) == best
 
 
 def test_exon_text_and_junctions(spark):
