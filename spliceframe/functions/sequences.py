@@ -60,17 +60,20 @@ def _ladder(value: Column, cuts: tuple, scores: tuple) -> Column:
     return out.otherwise(scores[-1])
 
 
-def fickett(seq: Column) -> Column:
-    """TESTCODE score from base position and content; 0 under two bases."""
-    s = F.translate(F.upper(seq), "U", "T")
+def fickett_scores(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
+    """key and fickett, the TESTCODE score from base position and content, of sequences of two bases or more.
+
+    A row for each base is counted by base and place in the codon; the ladders then read twelve plain columns.
+    """
+    s = F.translate(F.upper(F.col(seq)), "U", "T")
+    rows = df.where(F.length(seq) >= 2).select(key, F.length(seq).alias("n"), F.posexplode(F.split(s, "")).alias("at", "base"))
+    counts = [F.count_if((F.col("base") == b) & (F.col("at") % 3 == k)).alias(f"{b}{k}") for b in "ACGT" for k in range(3)]
+    c = rows.groupBy(key).agg(F.max("n").alias("n"), *counts)
     total = F.lit(0.0)
-    thirds = [F.array_join(F.transform(codons(F.concat(s, F.lit("NN"))), lambda c, k=k: F.substring(c, k + 1, 1)), "") for k in range(3)]
     for b in "ACGT":
-        n = [F.length(t) - F.length(F.replace(t, F.lit(b), F.lit(""))) for t in thirds]
-        position = F.greatest(*n) / (F.least(*n) + 1)
-        content = (n[0] + n[1] + n[2]) / F.length(s)
-        total = total + _ladder(position, POSITION_CUTS, POSITION[b]) * POSITION_WEIGHT[b] + _ladder(content, CONTENT_CUTS, CONTENT[b]) * CONTENT_WEIGHT[b]
-    return F.when(F.length(s) < 2, 0.0).otherwise(total)
+        n = [F.col(f"{b}{k}") for k in range(3)]
+        total = total + _ladder(F.greatest(*n) / (F.least(*n) + 1), POSITION_CUTS, POSITION[b]) * POSITION_WEIGHT[b] + _ladder((n[0] + n[1] + n[2]) / F.col("n"), CONTENT_CUTS, CONTENT[b]) * CONTENT_WEIGHT[b]
+    return c.select(key, total.alias("fickett"))
 
 
 def canonical_splice(seq: Column, start: Column, end: Column, strand: Column) -> Column:

@@ -142,7 +142,7 @@ _fick = " + ".join(
 
 @query("fickett_score", ctes("seqs") + ", b AS (SELECT seq_id, length(seq) AS n, unnest(string_split(seq, '')) AS c, unnest(range(0, length(seq))) % 3 AS k, seq FROM seqs WHERE length(seq) >= 2), t AS (SELECT seq_id, any_value(n) AS n, " + ", ".join(f"count(*) FILTER (c = '{b}' AND k = {k}) AS {b}{k}" for b in "ACGT" for k in range(3)) + f" FROM b GROUP BY seq_id) SELECT seq_id, round({_fick}, 6) AS fickett FROM t")
 def fickett_score(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, "seqs").where(F.length("seq") >= 2).select("seq_id", F.round(S.fickett(F.col("seq")), 6).alias("fickett"))
+    return S.fickett_scores(view(spark, d, "seqs"), "seq_id").withColumn("fickett", F.round("fickett", 6))
 
 
 @query("hexamer_llr", ctes("seqs") + """, h AS (SELECT seq_id, substr(seq, CAST(k AS INT), 6) AS x FROM (SELECT seq_id, seq, unnest(range(1, length(seq) - 4, 3)) AS k FROM seqs)), t AS (SELECT DISTINCT x, ln(((length(replace(x, 'G', '')) + 1) / CAST(7 AS DOUBLE) + 1e-8) / ((length(replace(x, 'A', '')) + 1) / CAST(7 AS DOUBLE) + 1e-8)) / ln(2) AS llr FROM h WHERE x NOT LIKE '%CC%')
@@ -188,7 +188,7 @@ def exon_structure_codec(spark: SparkSession, d: str) -> DataFrame:
     return text.select("locus_id", encode(decode(F.col("t"))).alias("exon_structure"))
 
 
-@query("rebuild_exons", ctes("loci") + """ SELECT locus_id, concat(greatest(1, "start" - 30), '-', "start" - 1, ',', "start" + 11, '-', "start" + 19, ',', "end" + 1, '-', "end" + 30) AS exons FROM loci""")
+@query("rebuild_exons", ctes("loci") + """ SELECT locus_id, concat(CASE WHEN "start" > 1 THEN concat(greatest(1, "start" - 30), '-', "start" - 1, ',') ELSE '' END, "start" + 11, '-', "start" + 19, ',', "end" + 1, '-', "end" + 30) AS exons FROM loci""")
 def rebuild_exons(spark: SparkSession, d: str) -> DataFrame:
     from ..functions.exons import encode, rebuild
 
