@@ -15,14 +15,15 @@ from .decontaminate import words
 
 #: Words of a k-mer, least share of aligned k-mers, k-mers sampled for a band, bands, and bands a candidate pair agrees on.
 K, SIMILARITY, SAMPLED, BANDS, AGREE = 5, 0.8, 3, 32, 6
-#: Triples of bands that texts left over by the bands meet by, and members of a bucket that each of their rounds compares the others with.
-TRIPLES, CENTRES = 64, 8
+#: Members of a bucket that a later round compares the others with, at first and at most; a round has eight times those of the one before.
+CENTRES, MOST_CENTRES = 8, 512
+#: Members of a bucket for each task that compares them with its centres, and tasks for a bucket at most.
+BLOCK, BLOCKS = 1000, 64
 #: Text ids up to which the set of candidates is broadcast (16 bytes each); beyond it, texts are shuffled to it.
 BROADCAST_IDS = 200_000
 _rng = np.random.default_rng(2024)
 _SEEDS = _rng.integers(1, 2**63, BANDS, dtype=np.uint64)[:, None]
 _ODD = _rng.integers(1, 2**63, BANDS, dtype=np.uint64)[:, None] | np.uint64(1)
-_TRIPLES = [np.sort(_rng.choice(BANDS, 3, replace=False)) for _ in range(TRIPLES)]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -161,53 +162,62 @@ def _verify(pairs: DataFrame, sequences: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(run, "id binary, rep binary, ok boolean")
 
 
-def _stars(entries: DataFrame, centres: int) -> DataFrame:
-    """Entries of buckets of two or more, with the bucket's centres: its least id, or the least of each of several random parts.
+def _stars(entries: DataFrame) -> DataFrame:
+    """Entries of buckets of two or more, with the bucket's centre, its least id.
 
     Least ids come by partial aggregation, so a hot bucket isn't gathered.
     """
-    part = F.pmod(F.xxhash64("id"), F.lit(centres))
-    own = [F.min(F.when(part == k, F.col("id"))) for k in range(centres)]
-    reps = entries.groupBy("bucket").agg(F.array_compact(F.array(*own)).alias("centres"), F.min("id").alias("_lo"), F.max("id").alias("_hi")).where("_lo <> _hi").select("bucket", "centres")
+    reps = entries.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("_hi")).where("centre <> _hi").select("bucket", "centre")
     return entries.join(reps, "bucket")
 
 
+def _meet(live: DataFrame, keys: DataFrame, centres: DataFrame) -> DataFrame:
+    """(id, rep) of members and centres of one bucket in different components that agree on AGREE bands.
+
+    A pair comes from the bucket of its first common band alone. The members of a large bucket are dealt over blocks,
+    each with all of the round's centres.
+    """
+    own = live.select("bucket", "at", "id", "label", F.pmod(F.xxhash64("id", "at"), "blocks").alias("block")).join(keys.select("id", F.col("keys").alias("_a")), "id")
+    theirs = centres.select("bucket", F.col("id").alias("rep"), F.col("label").alias("rep_label"), "blocks").join(keys.select(F.col("id").alias("rep"), F.col("keys").alias("_b")), "rep")
+    theirs = theirs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    same = F.zip_with("_a", "_b", lambda x, y: x == y)
+    both = own.join(theirs, ["bucket", "block"]).where((F.col("label") != F.col("rep_label")) & (F.array_position(same, True) == F.col("at") + 1) & (F.size(F.filter(same, lambda x: x)) >= AGREE))
+    return both.select(F.greatest("id", "rep").alias("id"), F.least("id", "rep").alias("rep")).distinct()
+
+
 def links(uniq: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(id, rep) with rep < id: verified links that connect the texts which share AGREE bands and align.
 
     The first round pairs every entry of a band's bucket with the bucket's least id, drops pairs that agree on fewer
-    than AGREE bands or don't align, and links the rest. Texts of entries without a link then meet by TRIPLES triples
-    of bands: texts as similar as ``least`` share some of them, those a little less so hardly any. Each round pairs
-    the entries of a triple's bucket with several centres; those without a link go on without them, until none is
-    left. So pairs grow with the entries, not with the square of a bucket. A round joins the ids still open alone.
+    than AGREE bands or don't align, and links the rest. Later rounds take buckets whose members aren't all in one
+    component, and compare each member with several centres that it isn't connected to, whether it has a link or not.
+    A centre leaves its bucket when it has met all members, so any two texts of a bucket are compared or connected at
+    the end. Comparisons grow with the square of a bucket only where its texts agree on bands but don't align.
     """
-    entries = uniq.select("id", F.posexplode("keys").alias("_at", "key")).select("id", F.xxhash64("_at", "key").alias("bucket"))
-    found, seen, sequences, keys, first = None, None, None, uniq.select("id", "keys"), True
+    entries = uniq.select("id", F.posexplode("keys").alias("at", "key")).select("id", "at", F.xxhash64("at", "key").alias("bucket"))
+    members = cut(_stars(entries))
+    keys = cut(_only(uniq.select("id", "keys"), cut(members.select("id").distinct())))
+    pairs = members.where("id <> centre").select("id", F.col("centre").alias("rep")).distinct()
+    mine, theirs = keys.select("id", F.col("keys").alias("_a")), keys.select(F.col("id").alias("rep"), F.col("keys").alias("_b"))
+    agree = F.size(F.filter(F.zip_with("_a", "_b", lambda x, y: x == y), lambda x: x))
+    likely = cut(pairs.join(mine, "id").join(theirs, "rep").where(agree >= AGREE).select("id", "rep"))
+    sequences = cut(_sequences(_only(texts, keys.select("id")).dropDuplicates(["id"])))
+    found = cut(_verify(likely, sequences, least).where("ok").select("id", "rep"))
+    rest, centres = members.where("id <> centre").select("bucket", "at", "id"), CENTRES
     while True:
-        members = cut(_stars(entries, 1 if first else CENTRES))
-        keys = cut(_only(keys, cut(members.select("id").distinct())))
-        legs = members.select("bucket", F.col("id").alias("own"), F.explode("centres").alias("centre")).where("own <> centre").select("bucket", "own", F.greatest("own", "centre").alias("id"), F.least("own", "centre").alias("rep"))
-        pairs = legs.select("id", "rep").distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["id", "rep"], "left_anti")
-        mine, theirs = keys.select("id", F.col("keys").alias("_a")), keys.select(F.col("id").alias("rep"), F.col("keys").alias("_b"))
-        agree = F.size(F.filter(F.zip_with("_a", "_b", lambda x, y: x == y), lambda x: x))
-        likely = cut(pairs.join(mine, "id").join(theirs, "rep").where(agree >= AGREE).select("id", "rep"))
-        if sequences is None:
-            sequences = cut(_sequences(_only(texts, keys.select("id")).dropDuplicates(["id"])))
-        checked = cut(_verify(likely, sequences, least))
-        good = checked.where("ok").select("id", "rep")
-        found = good if found is None else found.unionAll(good)
-        seen = checked.select("id", "rep") if seen is None else seen.unionAll(checked.select("id", "rep"))
-        linked = legs.join(found.distinct(), ["id", "rep"], "left_semi").select("bucket", F.col("own").alias("id")).distinct()
-        failed = members.where(~F.array_contains("centres", F.col("id"))).join(linked, ["bucket", "id"], "left_anti").select("bucket", "id")
-        if first:
-            by = [F.xxhash64(F.lit(k), *[F.col("keys")[int(b)] for b in t]) for k, t in enumerate(_TRIPLES)]
-            failed = _only(keys, cut(failed.select("id").distinct())).select("id", F.explode(F.array(*by)).alias("bucket"))
-            first = False
-        entries = cut(failed)
-        if entries.isEmpty():
-            return found.distinct()
+        roots = components(found)
+        live = rest.join(roots, "id", "left").select("bucket", "at", "id", F.coalesce("root", "id").alias("label"))
+        mixed = live.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi")
+        live = cut(live.join(mixed.select("bucket", F.least(F.ceil(F.col("n") / BLOCK), F.lit(BLOCKS)).cast("long").alias("blocks")), "bucket"))
+        if live.isEmpty():
+            return found
+        keys = cut(_only(keys, cut(live.select("id").distinct())))
+        part = F.pmod(F.xxhash64("id"), F.lit(centres))
+        chosen = cut(live.groupBy("bucket", part.alias("_part")).agg(F.min(F.struct("id", "label", "blocks")).alias("c")).select("bucket", "c.id", "c.label", "c.blocks"))
+        likely = cut(_meet(live, keys, chosen))
+        if not likely.isEmpty():
+            found = cut(found.unionAll(_verify(likely, sequences, least).where("ok").select("id", "rep")))
+        rest, centres = live.join(chosen.select("bucket", "id"), ["bucket", "id"], "left_anti").select("bucket", "at", "id"), min(8 * centres, MOST_CENTRES)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -219,6 +219,38 @@ def test_near_duplicates(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted({find(i) for i in sets} | {900, 901, 902, 903})
 
 
+def test_near_duplicates_of_stars_and_bridges(spark):
+    r = random.Random(31)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(7))
+
+    def edited(words, places):
+        return [word() if i in places else w for i, w in enumerate(words)]
+
+    # copies edited apart from each other align with their original alone
+    original = [word() for _ in range(300)]
+    star = [original, *[edited(original, set(range(k % 50 + 5, 300, 60))) for k in r.sample(range(50), 50)], *[edited(original, set(r.sample(range(5, 295), 5))) for _ in range(50)]]
+    # a chain: neighbours align, others don't
+    chain = [[word() for _ in range(300)]]
+    for k in range(12):
+        chain.append(edited(chain[-1], {20 * k + j for j in (3, 9, 15)}))
+    other = [[word() for _ in range(300)] for _ in range(20)]
+    texts = [*star, *chain, *other]
+    order = r.sample(range(len(texts)), len(texts))
+    docs = spark.createDataFrame([(i, " ".join(texts[i])) for i in order], "doc_id long, text string")
+    got = {x["doc_id"]: x["class_id"] for x in near_duplicates.near_duplicates(docs).collect()}
+
+    hashes = near_duplicates.WordHash()
+    k = [near_duplicates.kmers(" ".join(t).encode(), hashes) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if near_duplicates.similarity(k[i], k[j]) >= near_duplicates.SIMILARITY:
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    assert root[: len(star)] == [0] * len(star)
+    assert got == dict(enumerate(root))
+
+
 def test_html(spark):
     nav = "<div>Home About</div><p>Contact us</p>"
     rows = [(i, f"http://h/x/{i}", f"<html><body>{nav}<p>story {i} one</p><p>story {i} &amp; two</p><li class=ad>buy<li>keep{i}<div>Copyright</div></body></html>") for i in range(5)]
