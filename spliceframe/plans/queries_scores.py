@@ -149,7 +149,8 @@ def fickett_score(spark: SparkSession, d: str) -> DataFrame:
  SELECT seq_id, round(avg(llr), 6) AS coding_score FROM h JOIN t USING (x) GROUP BY seq_id""")
 def hexamer_llr(spark: SparkSession, d: str) -> DataFrame:
     seqs = view(spark, d, "seqs").where(F.length("seq") >= 6)
-    h = seqs.select("seq_id", F.explode(F.expr("transform(sequence(1, length(seq) - 5, 3), k -> substring(seq, k, 6))")).alias("x"))
+    c = seqs.select("seq_id", S.codons(F.col("seq")).alias("c"))
+    h = c.select("seq_id", F.explode(F.expr("zip_with(slice(c, 1, size(c) - 1), slice(c, 2, size(c) - 1), (a, b) -> concat(a, b))")).alias("x"))
     share = lambda b: (F.length(F.replace("x", F.lit(b), F.lit(""))) + 1) / F.lit(7.0) + 1e-8
     table = h.select("x").distinct().where(~F.col("x").contains("CC")).withColumn("llr", F.log2(share("G") / share("A")))
     return h.join(table, "x").groupBy("seq_id").agg(F.round(F.avg("llr"), 6).alias("coding_score"))
