@@ -8,6 +8,8 @@ import pytest
 from spliceframe.functions import sequences as S
 from spliceframe.plans.registry import QUERIES
 
+SF = "/root/testdata/sf0.001"
+
 
 def complement(s):
     return s[::-1].translate(str.maketrans("ACGTU", "TGCAA"))
@@ -75,3 +77,9 @@ def test_sequences_are_read_whole(spark, texts):
     assert got("fickett_score") == pytest.approx({k: fickett(s) for k, s in long(2).items()}, abs=2e-6)
     assert got("hexamer_llr") == pytest.approx({k: hexamers(s) for k, s in long(6).items()}, abs=2e-6)
     assert got("splice_fraction") == pytest.approx({k: splices(k, s) for k, s in long(130).items()}, abs=2e-6)
+
+
+def test_validate_arrays_covers_all_orders(spark):
+    keys = [r[0] for r in spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey").collect()]
+    got = QUERIES["validate_arrays"](spark, SF).collect()
+    assert sorted(r["obs_id"] for r in got) == sorted(keys) and all(r["good"] for r in got)
