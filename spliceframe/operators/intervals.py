@@ -20,6 +20,16 @@ def overlaps(a_start: Column, a_end: Column, b_start: Column, b_end: Column) ->
     return (a_start <= b_end) & (b_start <= a_end)
 
 
+def clip(df: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Every row of df with start and end clipped to 1 and its own chrom's length; where that is unknown, to 1 alone.
+
+    ``lengths`` has one row (chrom, length) a contig.
+    """
+    known = df.join(F.broadcast(lengths.select("chrom", F.col("length").alias("_length"))), "chrom", "left")
+    one = lambda c: F.least(F.greatest(F.lit(1).cast("long"), F.col(c)), F.col("_length")).alias(c)
+    return known.select(*[one(c) if c in ("start", "end") else c for c in df.columns])
+
+
 def _binned(df: DataFrame, start: Column, end: Column, width: int) -> DataFrame:
     of = lambda c: F.floor(c / F.lit(width)).cast("long")
     return df.withColumns({"_s": start, "_e": end}).withColumn("_bin", F.explode(F.sequence(of(F.col("_s")), of(F.col("_e")))))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import reads as R
 from ..operators import coverage, harvest
-from ..operators.intervals import gap, nearest, overlap_join
+from ..operators.intervals import clip, gap, nearest, overlap_join
 from .bridge import ctes, view
 from .catalog import query
 
@@ -138,7 +138,10 @@ def within_distance_semi(spark: SparkSession, d: str) -> DataFrame:
 
 @query("clip_intervals", ctes("loci") + """ SELECT locus_id, greatest(1, "start" - 300) AS "start", least(60000, "end" + 300) AS "end" FROM loci WHERE "start" - 300 <= 60000""")
 def clip_intervals(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, "loci").where("start - 300 <= 60000").select("locus_id", F.expr("greatest(1L, start - 300)").alias("start"), F.expr("least(60000L, `end` + 300)").alias("end"))
+    # the tables name no contig lengths, so a contig ends with its last locus
+    loci = view(spark, d, "loci")
+    wide = loci.select("locus_id", "chrom", (F.col("start") - 300).alias("start"), (F.col("end") + 300).alias("end"))
+    return clip(wide, loci.groupBy("chrom").agg(F.max("end").alias("length"))).drop("chrom")
 
 
 @query("union_length", ctes("genes") + """, m AS (SELECT chrom, "start", "end", max("end") OVER (PARTITION BY chrom ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ahead FROM genes)

@@ -6,6 +6,8 @@ import random
 import pytest
 
 from spliceframe.functions import sequences as S
+from spliceframe.operators import intervals
+from spliceframe.plans.bridge import view
 from spliceframe.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -83,3 +85,18 @@ def test_validate_arrays_covers_all_orders(spark):
     keys = [r[0] for r in spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey").collect()]
     got = QUERIES["validate_arrays"](spark, SF).collect()
     assert sorted(r["obs_id"] for r in got) == sorted(keys) and all(r["good"] for r in got)
+
+
+def test_clip_intervals_keeps_every_locus(spark):
+    loci = view(spark, SF, "loci").collect()
+    top = {}
+    for x in loci:
+        top[x["chrom"]] = max(top.get(x["chrom"], 0), x["end"])
+    want = sorted((x["locus_id"], max(1, x["start"] - 300), min(x["end"] + 300, top[x["chrom"]])) for x in loci)
+    assert sorted(map(tuple, QUERIES["clip_intervals"](spark, SF).collect())) == want
+
+
+def test_clip_leaves_unknown_contigs_alone(spark):
+    rows = [(1, "a", -5, 70), (2, "a", 90, 95), (3, "b", -5, 1 << 40), (4, None, 7, 9)]
+    df, lengths = spark.createDataFrame(rows, "k int, chrom string, start long, end long"), spark.createDataFrame([("a", 60)], "chrom string, length long")
+    assert sorted(tuple(x) for x in intervals.clip(df, lengths).select("k", "start", "end").collect()) == [(1, 1, 60), (2, 60, 60), (3, 1, 1 << 40), (4, 7, 9)]
