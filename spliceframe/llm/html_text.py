@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import html as entities
+import pickle
 import re
-from bisect import bisect_left, bisect_right
 from os.path import commonprefix
 
 import numpy as np
@@ -163,59 +163,84 @@ def _lines(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(run, "_key binary, host string, path string, lines array<long>, bare boolean")
 
 
+def _push(near: list[tuple], host: str, path: str, name: object, variants: tuple) -> list[tuple]:
+    """The entries (host, path, name, variants) to look at from the next page on, the last one first.
+
+    Pages of one path are one entry with two of their different line lists. Besides the last two entries, the last one
+    that differs from the second is enough to find a page that differs in path and lines from any that follows.
+    """
+    if near and near[0][0] != host:
+        near = []
+    if near and near[0][2] == name:
+        seen = near[0][3]
+        return [(host, path, name, (*seen, *[v for v in variants if v not in seen])[:2]), *near[1:]]
+    more = [x for x in near[1:] if any(v != near[0][3][0] for v in x[3])] if near and len(near[0][3]) == 1 else []
+    return [(host, path, name, variants), *near[:1], *more[:1]]
+
+
+def _differing(near: list[tuple], host: str, name: object, lines: bytes) -> tuple[str, bytes] | None:
+    """Path and lines of the first entry of the host with another path and other lines."""
+    return next(((x[1], v) for x in near if x[0] == host and x[2] != name for v in x[3] if v != lines), None)
+
+
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """_key, the hashes of lines (shared) and bare of each page: what it shares with its nearest page by URL path within its host.
+    """_key, the hashes of lines (shared) and bare of each page: what it shares with its nearest different page by URL path within its host.
 
     Pages are sorted by host and path over ranges, so a large host takes many tasks. A page's neighbours are the ones
-    before and after it in that order; the nearer has the longer common start of path, of equal ones the one before.
-    The first and last page of each range are sent to all tasks: two small rows a range.
+    before and after it in that order with another path and other lines: copies of a page and variants of one path
+    would share its text. The nearer has the longer common start of path, of equal ones the one before. Null urls are
+    each a path of their own. At most six entries of each range are sent to all tasks. A task holds its range's hashes.
     """
     ordered = cut(_lines(pages).repartitionByRange("host", "path", "_key").sortWithinPartitions("host", "path", "_key"))
 
-    def ends(batches):
-        first = last = None
+    def read(batches):
         for b in batches:
-            if b.num_rows:
-                first = first or b.slice(0, 1)
-                last = b.slice(b.num_rows - 1, 1)
-        if first is not None:
-            yield pa.concat_batches([first, last])
+            for h, p, k, lines, bare in zip(*(b.column(c).to_pylist() for c in ("host", "path", "_key", "lines", "bare"))):
+                h, p = h or "", p or ""
+                yield h, p, p if h or p else k, np.array(lines, np.int64).tobytes(), k, bare
 
-    edges = ordered.mapInArrow(ends, ordered.schema).collect()
-    edges = sorted({(r["host"] or "", r["path"] or "", bytes(r["_key"]), tuple(r["lines"]), r["bare"]) for r in edges})
-    told = pages.sparkSession.sparkContext.broadcast(edges)
+    def ends(batches):
+        first, begin, last = None, [], []
+        rows = list(read(batches))
+        for h, p, n, x, k, _ in rows:
+            first = first or (h, p, k)
+            last = _push(last, h, p, n, (x,))
+        for h, p, n, x, _, _ in reversed(rows):
+            begin = _push(begin, h, p, n, (x,))
+        if first is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((first, begin, last))], pa.binary())], ["ends"])
+
+    ranges = sorted((pickle.loads(r["ends"]) for r in ordered.mapInArrow(ends, "ends binary").collect()), key=lambda x: x[0])
+    carried: dict[tuple, list] = {first: [[], []] for first, _, _ in ranges}
+    for way, order in ((0, ranges), (1, ranges[::-1])):
+        near: list[tuple] = []
+        for first, begin, last in order:
+            carried[first][way] = near
+            for x in reversed(begin if way else last):
+                near = _push(near, *x)
+    told = pages.sparkSession.sparkContext.broadcast(carried)
 
     def pair(batches):
-        def result(before, row, after):
-            near = [x for x in (before, after) if x is not None and x[0] == row[0]]
-            if not near:
-                return []
-            # the nearer neighbour, of equal ones the one before
-            best = max(near, key=lambda x: len(commonprefix([x[1], row[1]])))
-            return sorted({row[3][k] for k in common_lines(list(row[3]), list(best[3]))})
-
-        def batch(keys, found, bares):
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(bares, pa.bool_())], ["_key", "shared", "bare"])
-
-        before = row = None
-        keys, found, bares = [], [], []
-        for b in batches:
-            for h, p, k, lines, bare in zip(*(b.column(c).to_pylist() for c in ("host", "path", "_key", "lines", "bare"))):
-                after = (h or "", p or "", k, tuple(lines), bare)
-                if row is None:
-                    at = bisect_left(told.value, after)
-                    before = told.value[at - 1] if at else None
-                else:
-                    keys.append(row[2])
-                    bares.append(row[4])
-                    found.append(result(before, row, after))
-                    before = row
-                row = after
-            yield batch(keys, found, bares)
+        rows = list(read(batches))
+        if not rows:
+            return
+        before, after = told.value[(*rows[0][:2], rows[0][4])]
+        later = []
+        for h, p, n, x, _, _ in reversed(rows):
+            after = _push(after, h, p, n, (x,))
+            later.append(_differing(after, h, n, x))
+        for at in range(0, len(rows), 1000):
             keys, found, bares = [], [], []
-        if row is not None:
-            at = bisect_right(told.value, row)
-            yield batch([row[2]], [result(before, row, told.value[at] if at < len(told.value) else None)], [row[4]])
+            for h, p, n, x, k, bare in rows[at : at + 1000]:
+                before = _push(before, h, p, n, (x,))
+                # the nearer neighbour, of equal ones the one before
+                near = [y for y in (_differing(before, h, n, x), later.pop()) if y is not None]
+                best = max(near, key=lambda y: len(commonprefix([y[0], p]))) if near else ("", b"")
+                own = np.frombuffer(x, np.int64).tolist()
+                keys.append(k)
+                found.append(sorted({own[i] for i in common_lines(own, np.frombuffer(best[1], np.int64).tolist())}))
+                bares.append(bare)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(bares, pa.bool_())], ["_key", "shared", "bare"])
 
     return ordered.mapInArrow(pair, "_key binary, shared array<long>, bare boolean")
 
@@ -232,7 +257,7 @@ def main_text(page: str | None, shared: list[int] | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
-    Lines that a page shares with its nearest page by URL are deleted, except within an article element: boilerplate
+    Lines that a page shares with its nearest different page by URL are deleted, except within an article element: boilerplate
     is told there by markup, and articles of one host do share passages and whole texts. Null and empty pages have no
     text; null urls have no neighbour but each other; repeated rows stay. Other columns aren't read. Only line hashes
     are sorted; what is shared comes back by a join on the row's digest, of pages without an article alone.

@@ -260,6 +260,25 @@ def test_html(spark):
     assert got[8] == "Head\na<b c\nd e" and got[9] == got[10] == ""
 
 
+@pytest.mark.parametrize("parts", [1, 4, 40])
+def test_html_copies_and_variants_keep_their_text(spark, parts):
+    page = lambda text: f"<html><body><div>Home About</div><p>{text}</p><div>Copyright</div></body></html>"
+    # repeated rows, variants of one path with and without changes, mirrors between other pages, and null urls
+    rows = [(1, "http://h/a/1", page("one")), (1, "http://h/a/1", page("one")), (2, "http://h/a/2?utm=1", page("two")), (3, "http://h/a/2?utm=2", page("two")), (4, "http://h/a/2#x", page("two").replace("</p>", "</p><p>more</p>"))]
+    rows += [(10 + i, f"http://h/b/{i}", page("mirrored")) for i in range(30)] + [(50, "http://h/c", page("last"))]
+    rows += [(60, None, page("x")), (61, None, page("x")), (62, None, page("y")), (70, "http://alone/1", page("p")), (71, "http://alone/2", page("p"))]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string").repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["page_id"]: r["text"] for r in html_text.extract(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    same = "Home About\np\nCopyright"
+    assert got == {1: "one", 2: "two", 3: "two", 4: "two\nmore", **{10 + i: "mirrored" for i in range(30)}, 50: "last", 60: "x", 61: "x", 62: "y", 70: same, 71: same}
+
+
 def test_common_lines_is_longest():
     r = random.Random(10)
     for _ in range(300):
