@@ -7,7 +7,7 @@ from bisect import bisect_left
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -15,10 +15,6 @@ from .decontaminate import words
 
 #: Words of a k-mer, least share of aligned k-mers, k-mers sampled for a band, bands, and bands a candidate pair agrees on.
 K, SIMILARITY, SAMPLED, BANDS, AGREE = 5, 0.8, 3, 32, 6
-#: Members of a bucket that a later round compares the others with, at first and at most; a round has eight times those of the one before.
-CENTRES, MOST_CENTRES = 8, 512
-#: Members of a bucket for each task that compares them with its centres, and tasks for a bucket at most.
-BLOCK, BLOCKS = 1000, 64
 #: Text ids up to which the set of candidates is broadcast (16 bytes each); beyond it, texts are shuffled to it.
 BROADCAST_IDS = 200_000
 _rng = np.random.default_rng(2024)
@@ -162,62 +158,81 @@ def _verify(pairs: DataFrame, sequences: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(run, "id binary, rep binary, ok boolean")
 
 
-def _stars(entries: DataFrame) -> DataFrame:
-    """Entries of buckets of two or more, with the bucket's centre, its least id.
+def _tokens(rows: DataFrame) -> DataFrame:
+    """Each k-mer of each text once, as a 32-bit number, with the text's length n in k-mers and how many of them differ (size)."""
 
-    Least ids come by partial aggregation, so a hot bucket isn't gathered.
-    """
-    reps = entries.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("_hi")).where("centre <> _hi").select("bucket", "centre")
-    return entries.join(reps, "bucket")
+    def run(batches):
+        for b in batches:
+            for i, label, seq in zip(*(b.column(c).to_pylist() for c in ("id", "label", "seq"))):
+                own = np.frombuffer(seq, "<u4")
+                each = np.unique(own)
+                for at in range(0, len(each), 100_000):
+                    part = pa.array(each[at : at + 100_000].view(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array([i] * len(part), pa.binary()), pa.array([label] * len(part), pa.binary()), pa.array([len(own)] * len(part), pa.int32()), pa.array([len(each)] * len(part), pa.int32()), part], ["id", "label", "n", "size", "token"])
+
+    return rows.select("id", "label", "seq").mapInArrow(run, "id binary, label binary, n int, size int, token int")
 
 
-def _meet(live: DataFrame, keys: DataFrame, centres: DataFrame) -> DataFrame:
-    """(id, rep) of members and centres of one bucket in different components that agree on AGREE bands.
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, label) of texts that share AGREE buckets or more with texts of other components; no other text can have a link that is still missing."""
+    live = members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("label"))
+    for _ in range(2):
+        mixed = live.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("bucket")
+        live = live.join(mixed, "bucket")
+        live = live.join(live.groupBy("id").count().where(F.col("count") >= AGREE).select("id"), "id")
+    return live.select("id", "label").distinct()
 
-    A pair comes from the bucket of its first common band alone. The members of a large bucket are dealt over blocks,
-    each with all of the round's centres.
+
+def _split(open_texts: DataFrame, sequences: DataFrame, least: float) -> DataFrame:
+    """(id, rep) of open texts in different components that could still align to ``least``: an exact filter that splits hot buckets.
+
+    K-mers are put in one order, rare ones first. The first k-mer that two texts share leaves at most as many shared
+    ones as the shorter rest holds, so it stands early in both if they are to align; edits make k-mers of their own,
+    which are rare and come first, so texts that resemble a hot group too little share none there. Within a k-mer's
+    texts, those of its largest component aren't compared with each other.
     """
-    own = live.select("bucket", "at", "id", "label", F.pmod(F.xxhash64("id", "at"), "blocks").alias("block")).join(keys.select("id", F.col("keys").alias("_a")), "id")
-    theirs = centres.select("bucket", F.col("id").alias("rep"), F.col("label").alias("rep_label"), "blocks").join(keys.select(F.col("id").alias("rep"), F.col("keys").alias("_b")), "rep")
-    theirs = theirs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
-    same = F.zip_with("_a", "_b", lambda x, y: x == y)
-    both = own.join(theirs, ["bucket", "block"]).where((F.col("label") != F.col("rep_label")) & (F.array_position(same, True) == F.col("at") + 1) & (F.size(F.filter(same, lambda x: x)) >= AGREE))
-    return both.select(F.greatest("id", "rep").alias("id"), F.least("id", "rep").alias("rep")).distinct()
+    tokens = cut(_tokens(open_texts.join(sequences, "id")))
+    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    own = Window.partitionBy("id")
+    at = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "token")) - 1
+    early = cut(tokens.join(counted, "token").withColumn("at", at).where(F.col("at") <= F.col("size") - F.ceil(F.lit(least) * F.col("n") - 1e-9)).drop("df"))
+    each = early.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
+    mixed = each.groupBy("token").agg(F.max(F.struct("k", "label"))["label"].alias("major"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("token", "major")
+    early = cut(early.join(mixed, "token"))
+    a, b = early.where("label <> major").alias("a"), early.alias("b")
+    need = F.ceil(F.lit(least / (1 + least)) * (F.col("a.n") + F.col("b.n")) - 1e-9)
+    on = (F.col("a.token") == F.col("b.token")) & (F.col("a.label") != F.col("b.label")) & ((F.col("b.label") == F.col("b.major")) | (F.col("a.id") < F.col("b.id")))
+    reach = (F.col("a.at") <= F.col("a.size") - need) & (F.col("b.at") <= F.col("b.size") - need)
+    return a.join(b, on & reach).select(F.greatest("a.id", "b.id").alias("id"), F.least("a.id", "b.id").alias("rep")).distinct()
 
 
 def links(uniq: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(id, rep) with rep < id: verified links that connect the texts which share AGREE bands and align.
 
-    The first round pairs every entry of a band's bucket with the bucket's least id, drops pairs that agree on fewer
-    than AGREE bands or don't align, and links the rest. Later rounds take buckets whose members aren't all in one
-    component, and compare each member with several centres that it isn't connected to, whether it has a link or not.
-    A centre leaves its bucket when it has met all members, so any two texts of a bucket are compared or connected at
-    the end. Comparisons grow with the square of a bucket only where its texts agree on bands but don't align.
+    First every text is compared with the centre of each of its buckets: the member whose buckets hold the most
+    entries, which in a group of copies is what they are copies of. What agrees on AGREE bands and aligns is linked,
+    so most groups are one component. Then texts that share AGREE buckets with other components meet by their rare
+    k-mers (``_split``), an exact filter. Pairs grow with the square of a group only where that many texts of different
+    components pass the filter.
     """
-    entries = uniq.select("id", F.posexplode("keys").alias("at", "key")).select("id", "at", F.xxhash64("at", "key").alias("bucket"))
-    members = cut(_stars(entries))
+    entries = uniq.select("id", F.posexplode("keys").alias("at", "key")).select("id", F.xxhash64("at", "key").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("_lo"), F.max("id").alias("_hi")).where("_lo <> _hi").select("bucket", "n")
+    members = cut(entries.join(shared, "bucket"))
+    weight = members.groupBy("id").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("bands")).where(F.col("bands") >= AGREE).select("id", "weight")
+    members = cut(members.join(weight, "id").select("bucket", "id", "weight"))
+    centres = members.groupBy("bucket").agg(F.max(F.struct("weight", "id"))["id"].alias("rep"))
+    pairs = members.join(centres, "bucket").where("id <> rep").select(F.greatest("id", "rep").alias("id"), F.least("id", "rep").alias("rep")).distinct()
     keys = cut(_only(uniq.select("id", "keys"), cut(members.select("id").distinct())))
-    pairs = members.where("id <> centre").select("id", F.col("centre").alias("rep")).distinct()
     mine, theirs = keys.select("id", F.col("keys").alias("_a")), keys.select(F.col("id").alias("rep"), F.col("keys").alias("_b"))
     agree = F.size(F.filter(F.zip_with("_a", "_b", lambda x, y: x == y), lambda x: x))
     likely = cut(pairs.join(mine, "id").join(theirs, "rep").where(agree >= AGREE).select("id", "rep"))
     sequences = cut(_sequences(_only(texts, keys.select("id")).dropDuplicates(["id"])))
     found = cut(_verify(likely, sequences, least).where("ok").select("id", "rep"))
-    rest, centres = members.where("id <> centre").select("bucket", "at", "id"), CENTRES
-    while True:
-        roots = components(found)
-        live = rest.join(roots, "id", "left").select("bucket", "at", "id", F.coalesce("root", "id").alias("label"))
-        mixed = live.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi")
-        live = cut(live.join(mixed.select("bucket", F.least(F.ceil(F.col("n") / BLOCK), F.lit(BLOCKS)).cast("long").alias("blocks")), "bucket"))
-        if live.isEmpty():
-            return found
-        keys = cut(_only(keys, cut(live.select("id").distinct())))
-        part = F.pmod(F.xxhash64("id"), F.lit(centres))
-        chosen = cut(live.groupBy("bucket", part.alias("_part")).agg(F.min(F.struct("id", "label", "blocks")).alias("c")).select("bucket", "c.id", "c.label", "c.blocks"))
-        likely = cut(_meet(live, keys, chosen))
-        if not likely.isEmpty():
-            found = cut(found.unionAll(_verify(likely, sequences, least).where("ok").select("id", "rep")))
-        rest, centres = live.join(chosen.select("bucket", "id"), ["bucket", "id"], "left_anti").select("bucket", "at", "id"), min(8 * centres, MOST_CENTRES)
+    still = cut(_open(members.select("bucket", "id"), components(found)))
+    if still.isEmpty():
+        return found
+    more = _verify(cut(_split(still, sequences, least)), sequences, least).where("ok").select("id", "rep")
+    return cut(found.unionAll(more))
 
 
 def components(edges: DataFrame) -> DataFrame:
