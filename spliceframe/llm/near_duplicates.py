@@ -17,6 +17,8 @@ from .decontaminate import words
 K, SIMILARITY, SAMPLED, BANDS, AGREE = 5, 0.8, 3, 32, 6
 #: Text ids up to which the set of candidates is broadcast (16 bytes each); beyond it, texts are shuffled to it.
 BROADCAST_IDS = 200_000
+#: Rows of ids for a partition at least.
+ROWS = 50_000
 _rng = np.random.default_rng(2024)
 _SEEDS = _rng.integers(1, 2**63, BANDS, dtype=np.uint64)[:, None]
 _ODD = _rng.integers(1, 2**63, BANDS, dtype=np.uint64)[:, None] | np.uint64(1)
@@ -141,6 +143,11 @@ def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
+def _gathered(df: DataFrame) -> DataFrame:
+    """A checkpointed df in no more partitions than its rows need, so that what follows doesn't write many tiny files."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS)))
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select("id").union(pairs.select("rep")).distinct()
 
@@ -163,14 +170,14 @@ def _tokens(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for i, label, seq in zip(*(b.column(c).to_pylist() for c in ("id", "label", "seq"))):
+            for i, seq in zip(*(b.column(c).to_pylist() for c in ("id", "seq"))):
                 own = np.frombuffer(seq, "<u4")
                 each = np.unique(own)
                 for at in range(0, len(each), 100_000):
                     part = pa.array(each[at : at + 100_000].view(np.int32))
-                    yield pa.RecordBatch.from_arrays([pa.array([i] * len(part), pa.binary()), pa.array([label] * len(part), pa.binary()), pa.array([len(own)] * len(part), pa.int32()), pa.array([len(each)] * len(part), pa.int32()), part], ["id", "label", "n", "size", "token"])
+                    yield pa.RecordBatch.from_arrays([pa.array([i] * len(part), pa.binary()), pa.array([len(own)] * len(part), pa.int32()), pa.array([len(each)] * len(part), pa.int32()), part], ["id", "n", "size", "token"])
 
-    return rows.select("id", "label", "seq").mapInArrow(run, "id binary, label binary, n int, size int, token int")
+    return rows.select("id", "seq").mapInArrow(run, "id binary, n int, size int, token int")
 
 
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -195,10 +202,11 @@ def _split(open_texts: DataFrame, sequences: DataFrame, least: float) -> DataFra
     counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     own = Window.partitionBy("id")
     at = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "token")) - 1
-    early = cut(tokens.join(counted, "token").withColumn("at", at).where(F.col("at") <= F.col("size") - F.ceil(F.lit(least) * F.col("n") - 1e-9)).drop("df"))
+    early = tokens.join(counted, "token").withColumn("at", at).where(F.col("at") <= F.col("size") - F.ceil(F.lit(least) * F.col("n") - 1e-9)).drop("df")
+    early = _gathered(cut(early.join(open_texts, "id")))
     each = early.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
     mixed = each.groupBy("token").agg(F.max(F.struct("k", "label"))["label"].alias("major"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("token", "major")
-    early = cut(early.join(mixed, "token"))
+    early = _gathered(cut(early.join(mixed, "token")))
     a, b = early.where("label <> major").alias("a"), early.alias("b")
     need = F.ceil(F.lit(least / (1 + least)) * (F.col("a.n") + F.col("b.n")) - 1e-9)
     on = (F.col("a.token") == F.col("b.token")) & (F.col("a.label") != F.col("b.label")) & ((F.col("b.label") == F.col("b.major")) | (F.col("a.id") < F.col("b.id")))
@@ -217,39 +225,40 @@ def links(uniq: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataF
     """
     entries = uniq.select("id", F.posexplode("keys").alias("at", "key")).select("id", F.xxhash64("at", "key").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("_lo"), F.max("id").alias("_hi")).where("_lo <> _hi").select("bucket", "n")
-    members = cut(entries.join(shared, "bucket"))
+    members = _gathered(cut(entries.join(shared, "bucket")))
     weight = members.groupBy("id").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("bands")).where(F.col("bands") >= AGREE).select("id", "weight")
-    members = cut(members.join(weight, "id").select("bucket", "id", "weight"))
+    members = _gathered(cut(members.join(weight, "id").select("bucket", "id", "weight")))
     centres = members.groupBy("bucket").agg(F.max(F.struct("weight", "id"))["id"].alias("rep"))
     pairs = members.join(centres, "bucket").where("id <> rep").select(F.greatest("id", "rep").alias("id"), F.least("id", "rep").alias("rep")).distinct()
-    keys = cut(_only(uniq.select("id", "keys"), cut(members.select("id").distinct())))
+    keys = _gathered(cut(_only(uniq.select("id", "keys"), cut(members.select("id").distinct()))))
     mine, theirs = keys.select("id", F.col("keys").alias("_a")), keys.select(F.col("id").alias("rep"), F.col("keys").alias("_b"))
     agree = F.size(F.filter(F.zip_with("_a", "_b", lambda x, y: x == y), lambda x: x))
-    likely = cut(pairs.join(mine, "id").join(theirs, "rep").where(agree >= AGREE).select("id", "rep"))
-    sequences = cut(_sequences(_only(texts, keys.select("id")).dropDuplicates(["id"])))
-    found = cut(_verify(likely, sequences, least).where("ok").select("id", "rep"))
-    still = cut(_open(members.select("bucket", "id"), components(found)))
+    likely = _gathered(cut(pairs.join(mine, "id").join(theirs, "rep").where(agree >= AGREE).select("id", "rep")))
+    sequences = _gathered(cut(_sequences(_only(texts, keys.select("id")).dropDuplicates(["id"]))))
+    found = _gathered(cut(_verify(likely, sequences, least).where("ok").select("id", "rep")))
+    still = _gathered(cut(_open(members.select("bucket", "id"), components(found))))
     if still.isEmpty():
         return found
-    more = _verify(cut(_split(still, sequences, least)), sequences, least).where("ok").select("id", "rep")
+    more = _verify(_gathered(cut(_split(still, sequences, least))), sequences, least).where("ok").select("id", "rep")
     return cut(found.unionAll(more))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) of every id in an edge, root the least id it is connected to, by alternating stars until nothing changes."""
-    edges = cut(edges.select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b")).where("a <> b").distinct())
+    edges = _gathered(cut(edges.select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b")).where("a <> b").distinct()))
     before = None
     while True:
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).union(edges.select(F.col("b"), F.col("b")).distinct())
-        before = state
-        both = edges.union(edges.select("b", "a")).toDF("u", "v")
+        before, parts = state, edges.rdd.getNumPartitions()
+        both = edges.union(edges.select("b", "a")).toDF("u", "v").coalesce(parts)
         least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").coalesce(parts)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        edges = cut(small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct())
+        small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").coalesce(parts)
+        edges = cut(small.distinct().coalesce(parts))
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
