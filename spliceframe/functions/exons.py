@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 
 def decode(text: Column) -> Column:
-    """array<struct<start, end>> of "a-b,c-d", bounds put in order, junk skipped, sorted."""
+    """array<struct<start, end>> of "a-b,c-d" in the order given, bounds put in order; junk and bounds beyond 64 bits are skipped."""
     parts = F.filter(F.split(F.coalesce(text, F.lit("")), ","), lambda x: x.rlike(r"^\s*[0-9]+\s*-\s*[0-9]+\s*$"))
     ends = F.transform(parts, lambda x: F.split(x, "-"))
-    a = lambda x, k: F.trim(x[k]).cast("long")
-    return F.array_sort(F.transform(ends, lambda x: F.struct(F.least(a(x, 0), a(x, 1)).alias("start"), F.greatest(a(x, 0), a(x, 1)).alias("end"))))
+    a = lambda x, k: F.trim(x[k]).try_cast("long")
+    whole = F.filter(ends, lambda x: a(x, 0).isNotNull() & a(x, 1).isNotNull())
+    return F.transform(whole, lambda x: F.struct(F.least(a(x, 0), a(x, 1)).alias("start"), F.greatest(a(x, 0), a(x, 1)).alias("end")))
 
 
 def encode(exons: Column) -> Column:

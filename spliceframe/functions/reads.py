@@ -51,5 +51,15 @@ def aligned_blocks(pos: Column, cigar: Column) -> Column:
 
 
 def introns(pos: Column, cigar: Column) -> Column:
-    """Distinct array<struct<s, e>> of skipped stretches."""
-    return F.array_distinct(F.transform(F.filter(placed_ops(pos, cigar), lambda x: (x["op"] == "N") & (x["e"] >= x["s"])), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
+    """Distinct array<struct<s, e>> of skipped stretches; one step for each, over the reference bases of what stands before it."""
+    skips = F.regexp_extract_all(cigar, F.lit("([0-9]+)N"), F.lit(1))
+    bases = lambda piece: F.aggregate(F.regexp_extract_all(piece, F.lit("([0-9]+)[MDX=]"), F.lit(1)), F.lit(0).cast("long"), lambda n, x: n + x.cast("long"))
+    steps = F.zip_with(F.slice(F.split(cigar, "[0-9]+N", -1), F.lit(1), F.size(skips)), skips, lambda piece, n: F.struct(bases(piece).alias("b"), n.cast("long").alias("n")))
+    start = F.struct(pos.cast("long").alias("at"), F.array().cast("array<struct<s:bigint,e:bigint>>").alias("out"))
+
+    def step(acc, x):
+        s = acc["at"] + x["b"]
+        return F.struct((s + x["n"]).alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), (s + x["n"] - 1).alias("e")))).alias("out"))
+
+    found = F.array_distinct(F.filter(F.aggregate(steps, start, step, lambda acc: acc["out"]), lambda x: x["e"] >= x["s"]))
+    return F.when(cigar.contains("N"), found).otherwise(F.array().cast("array<struct<s:bigint,e:bigint>>"))

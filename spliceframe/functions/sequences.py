@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Standard genetic code in TCAG order of the three bases. Fixed values.
@@ -41,16 +41,31 @@ def translate(seq: Column) -> Column:
 def longest_orfs(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
     """key, aa, frame, start and complete: ATG to a stop or the end; the longest, then the least frame, then the first.
 
-    A row for each codon; an ATG's stop is the last one seen when its frame is read from the end.
+    Each frame is written as codons of four characters and split at its stops; the first ATG of a piece is its longest,
+    so a row takes one step a piece and no shuffle. Sequences without an ATG have no row.
     """
-    frames = F.explode(F.array(*[F.struct(F.lit(f).alias("frame"), codons(F.col(seq), f).alias("c")) for f in range(3)]))
-    c = df.select(key, frames.alias("x")).select(key, "x.frame", F.size("x.c").alias("n"), F.posexplode("x.c").alias("k", "codon"))
-    back = Window.partitionBy(key, "frame").orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    stop = F.last(F.when(F.col("codon").isin(*STOPS), F.col("k")), ignorenulls=True).over(back)
-    found = c.withColumn("stop", stop).where("codon = 'ATG'")
-    best = F.min(F.struct((F.col("k") - F.coalesce("stop", "n")).alias("a"), "frame", "k", F.col("stop").isNotNull().alias("complete")))
-    out = found.groupBy(key).agg(best.alias("o"))
-    return out.select(key, (-F.col("o.a")).alias("aa"), F.col("o.frame").alias("frame"), (F.col("o.k") * 3 + F.col("o.frame")).alias("start"), F.col("o.complete").alias("complete"))
+
+    def best(frame: int) -> Column:
+        spaced = F.regexp_replace(F.substring(F.upper(F.col(seq)), frame + 1, 2**31 - 1), "(?s)(.{3})", "$1 ")
+        pieces = F.split(spaced, "(?:" + "|".join(STOPS) + ") ", -1)
+        start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit(0).alias("aa"), F.lit(0).alias("from"), F.lit(0).alias("piece"))
+
+        def step(acc, x):
+            found = F.instr(x, "ATG ")
+            aa = F.when(found > 0, F.floor((F.length(x) - found + 1) / 4).cast("int")).otherwise(0)
+            longer = aa > acc["aa"]
+            return F.struct(
+                (acc["at"] + F.floor(F.length(x) / 4).cast("int") + 1).alias("at"),
+                (acc["n"] + 1).alias("n"),
+                F.greatest(aa, acc["aa"]).alias("aa"),
+                F.when(longer, acc["at"] + F.floor((found - 1) / 4).cast("int")).otherwise(acc["from"]).alias("from"),
+                F.when(longer, acc["n"]).otherwise(acc["piece"]).alias("piece"),
+            )
+
+        return F.aggregate(pieces, start, step, lambda acc: F.struct((-acc["aa"]).alias("a"), F.lit(frame).alias("frame"), (acc["from"] * 3 + frame).alias("start"), (acc["piece"] < acc["n"] - 1).alias("complete")))
+
+    out = df.select(key, F.array_min(F.array(*[best(f) for f in range(3)])).alias("_o")).where("_o.a < 0")
+    return out.select(key, (-F.col("_o.a")).alias("aa"), F.col("_o.frame").alias("frame"), F.col("_o.start").alias("start"), F.col("_o.complete").alias("complete"))
 
 
 def _ladder(value: Column, cuts: tuple, scores: tuple) -> Column:
@@ -61,19 +76,20 @@ def _ladder(value: Column, cuts: tuple, scores: tuple) -> Column:
 
 
 def fickett_scores(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
-    """key and fickett, the TESTCODE score from base position and content, of sequences of two bases or more.
+    """key and fickett, the TESTCODE score from base position and content; 0 for sequences of under two bases.
 
-    A row for each base is counted by base and place in the codon; the ladders then read twelve plain columns.
+    Every third base is taken by one expression for each place in the codon and counted by length: no rows, no shuffle.
     """
-    s = F.translate(F.upper(F.col(seq)), "U", "T")
-    rows = df.where(F.length(seq) >= 2).select(key, F.length(seq).alias("n"), F.posexplode(F.split(s, "")).alias("at", "base"))
-    counts = [F.count_if((F.col("base") == b) & (F.col("at") % 3 == k)).alias(f"{b}{k}") for b in "ACGT" for k in range(3)]
-    c = rows.groupBy(key).agg(F.max("n").alias("n"), *counts)
+    whole = F.translate(F.upper(F.coalesce(F.col(seq), F.lit(""))), "U", "T")
+    third = [F.regexp_replace(F.substring(whole, k + 1, 2**31 - 1), "(?s)(.).{0,2}", "$1").alias(f"_third{k}") for k in range(3)]
+    rows = df.select(key, F.length(whole).alias("_length"), *third)
+    counts = [(F.length(f"_third{k}") - F.length(F.replace(F.col(f"_third{k}"), F.lit(b), F.lit("")))).alias(f"_{b}{k}") for b in "ACGT" for k in range(3)]
+    c = rows.select(key, "_length", *counts)
     total = F.lit(0.0)
     for b in "ACGT":
-        n = [F.col(f"{b}{k}") for k in range(3)]
-        total = total + _ladder(F.greatest(*n) / (F.least(*n) + 1), POSITION_CUTS, POSITION[b]) * POSITION_WEIGHT[b] + _ladder((n[0] + n[1] + n[2]) / F.col("n"), CONTENT_CUTS, CONTENT[b]) * CONTENT_WEIGHT[b]
-    return c.select(key, total.alias("fickett"))
+        n = [F.col(f"_{b}{k}") for k in range(3)]
+        total = total + _ladder(F.greatest(*n) / (F.least(*n) + 1), POSITION_CUTS, POSITION[b]) * POSITION_WEIGHT[b] + _ladder((n[0] + n[1] + n[2]) / F.col("_length"), CONTENT_CUTS, CONTENT[b]) * CONTENT_WEIGHT[b]
+    return c.select(key, F.when(F.col("_length") >= 2, total).otherwise(0.0).alias("fickett"))
 
 
 def canonical_splice(seq: Column, start: Column, end: Column, strand: Column) -> Column:
@@ -85,9 +101,12 @@ def canonical_splice(seq: Column, start: Column, end: Column, strand: Column) ->
 
 
 def coding_label(score: Column, low: float = 0.0, high: float = 0.0) -> Column:
-    return F.when(score > high, "coding").when(score < low, "noncoding").otherwise("ambiguous")
+    """coding above high, noncoding below low, else ambiguous; missing and non-finite scores are noncoding."""
+    lost = score.isNull() | F.isnan(score) | score.isin(float("inf"), float("-inf"))
+    return F.when(lost, "noncoding").when(score > high, "coding").when(score < low, "noncoding").otherwise("ambiguous")
 
 
 def chrom_key(chrom: Column) -> Column:
-    bare = F.regexp_replace(chrom, "(?i)^chr", "")
+    """The name without a lower-case chr; M and MT are one."""
+    bare = F.regexp_replace(chrom, "^chr", "")
     return F.when(F.upper(bare).isin("M", "MT"), "MT").otherwise(bare)

@@ -22,9 +22,10 @@ def junction_reads(aln: DataFrame, min_mapq: int = 10, unique_only: bool = False
     paired = R.has(F.col("flag"), R.PAIRED)
     kept = aln.where(ok & (~paired | R.has(F.col("flag"), R.PROPER)))
     kept = kept.withColumns({"paired": paired, "strand": F.coalesce(R.inferred_strand(F.col("flag"), F.col("library")), F.lit(".")), "introns": R.introns(F.col("pos"), F.col("cigar"))})
-    single = kept.where("NOT paired").select("sample_id", "grp", "chrom", "strand", F.explode("introns").alias("i"))
+    # outer, as an inner explode filters by its array first and so computes it twice
+    single = kept.where("NOT paired").select("sample_id", "grp", "chrom", "strand", F.explode_outer("introns").alias("i")).where("i IS NOT NULL")
     fragments = kept.where("paired").groupBy("sample_id", "qname").agg(F.count(F.lit(1)).alias("_n"), F.first("grp").alias("grp"), F.flatten(F.collect_list(F.expr("transform(introns, x -> named_struct('chrom', chrom, 'strand', strand, 's', x.s, 'e', x.e))"))).alias("_i")).where("_n = 2")
-    both = fragments.select("sample_id", "grp", F.explode(F.array_distinct("_i")).alias("i")).select("sample_id", "grp", "i.chrom", "i.strand", F.col("i.s").alias("start"), F.col("i.e").alias("end"))
+    both = fragments.select("sample_id", "grp", F.explode_outer(F.array_distinct("_i")).alias("i")).where("i IS NOT NULL").select("sample_id", "grp", "i.chrom", "i.strand", F.col("i.s").alias("start"), F.col("i.e").alias("end"))
     return single.select("sample_id", "grp", "chrom", "strand", F.col("i.s").alias("start"), F.col("i.e").alias("end")).unionByName(both)
 
 
@@ -33,8 +34,8 @@ def census(junctions: DataFrame) -> DataFrame:
     return junctions.groupBy("sample_id", "grp", "chrom", "start", "end", "strand").agg(F.count(F.lit(1)).alias("n"))
 
 
-def recurrence(counts: DataFrame, min_samples: int = 2, min_support: int = 2, max_control: int | None = 0) -> DataFrame:
-    """Cohort sums of each junction that recurs, and its label: silent, shared or cohort."""
+def recurrence(counts: DataFrame, min_samples: int = 2, min_support: int = 2, max_control: int = 0, has_controls: bool = True) -> DataFrame:
+    """Cohort sums of each junction that recurs, and its label: cohort if the sample sheet has no controls, else silent or shared."""
     control, treat = F.col("grp") == "control", F.col("grp") == "treat"
     out = counts.groupBy("chrom", "start", "end", "strand").agg(
         F.sum("n").alias("support_sum"),
@@ -44,7 +45,7 @@ def recurrence(counts: DataFrame, min_samples: int = 2, min_support: int = 2, ma
         F.coalesce(F.sum(F.when(treat, F.col("n"))), F.lit(0)).alias("treat_sum"),
         F.count_if(treat).alias("treat_n"),
     )
-    label = F.when((F.col("control_n") == 0) & (F.col("treat_n") == 0), "cohort").when(F.col("control_max") <= (max_control or 0), "silent").otherwise("shared")
+    label = F.when(F.col("control_max") <= max_control, "silent").otherwise("shared") if has_controls else F.lit("cohort")
     return out.where((F.col("n_detected") >= min_samples) & (F.col("support_sum") >= min_support)).withColumn("cohort", label)
 
 

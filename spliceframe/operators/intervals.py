@@ -30,6 +30,11 @@ def clip(df: DataFrame, lengths: DataFrame) -> DataFrame:
     return known.select(*[one(c) if c in ("start", "end") else c for c in df.columns])
 
 
+def _identity(df: DataFrame) -> Column:
+    """128 bits that stand for a row's values; equal rows share them."""
+    return F.struct(F.xxhash64(*df.columns).alias("a"), F.xxhash64(F.lit(1), *df.columns).alias("b"))
+
+
 def _binned(df: DataFrame, start: Column, end: Column, width: int) -> DataFrame:
     of = lambda c: F.floor(c / F.lit(width)).cast("long")
     return df.withColumns({"_s": start, "_e": end}).withColumn("_bin", F.explode(F.sequence(of(F.col("_s")), of(F.col("_e")))))
@@ -48,7 +53,7 @@ def overlap_join(left: DataFrame, right: DataFrame, width: int = BIN, pad: int =
         first = F.col("_bin") == F.floor(F.greatest("_s", "_rs") / F.lit(width))
         return a.join(b, on & first).drop("_s", "_e", "_bin", "_rs", "_re", "_rbin")
     # the left row with the bins it hits, then each left row once
-    keyed = left.withColumn("_row", F.xxhash64(*left.columns))
+    keyed = left.withColumn("_row", _identity(left))
     hit = _binned(keyed, F.col("start") - pad, F.col("end") + pad, width).join(b, on, "left_semi").select("_row").distinct()
     return keyed.join(hit, "_row", f"left_{how}").drop("_row")
 
@@ -62,7 +67,7 @@ def _toward(loci: DataFrame, bodies: DataFrame, key: list[str], side: str) -> Da
     sign = 1 if side == "left" else -1
     body = F.struct(F.col("end" if side == "left" else "start").alias("at"), F.col("gene_id"), F.col("start"), F.col("end"))
     place = (F.col("end") if side == "left" else -F.col("start")).cast("long")
-    b = bodies.select(*key, place.alias("_p"), F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_row"), body.alias("_body"), F.struct(place.alias("p"), F.col("gene_id").alias("g")).alias("_order"))
+    b = bodies.select(*key, place.alias("_p"), F.lit(0).alias("_kind"), F.lit(None).cast(loci.schema["_row"].dataType).alias("_row"), body.alias("_body"), F.struct(place.alias("p"), F.col("gene_id").alias("g")).alias("_order"))
     here = (F.col("start") - 1 if sign > 0 else -(F.col("end") + 1)).cast("long")
     a = loci.select(*key, here.alias("_p"), F.lit(1).alias("_kind"), "_row", F.lit(None).cast(b.schema["_body"].dataType).alias("_body"), F.struct(here.alias("p"), F.lit("").alias("g")).alias("_order"))
     both = a.unionByName(b).withColumn("_block", F.floor(F.col("_p") / F.lit(BLOCK)))
@@ -83,7 +88,7 @@ def nearest(loci: DataFrame, bodies: DataFrame, key: tuple[str, ...] = ("chrom",
     their rows; loci on keys without bodies get nulls.
     """
     keys = list(key)
-    rows = loci.withColumn("_row", F.xxhash64(*loci.columns))
+    rows = loci.withColumn("_row", _identity(loci))
     one = rows.dropDuplicates(["_row"])
     slim = bodies.select(*keys, "start", "end", "gene_id")
     hit = overlap_join(one.select("_row", *keys, "start", "end"), slim, width)
@@ -97,3 +102,12 @@ def nearest(loci: DataFrame, bodies: DataFrame, key: tuple[str, ...] = ("chrom",
         sides.append(t.select("_row", F.struct(d.alias("distance"), F.col("_body.gene_id").alias("gene_id")).alias("n")))
     best = sides[0].unionAll(sides[1]).unionAll(sides[2]).groupBy("_row").agg(F.min("n").alias("n"))
     return rows.join(best, "_row", "left").select(*loci.columns, F.col("n.gene_id").alias("nearest_id"), F.col("n.distance").alias("distance"))
+
+
+def nearest_stranded(loci: DataFrame, bodies: DataFrame, wild_bodies: bool = False) -> DataFrame:
+    """As ``nearest``, on the locus's own strand; a locus without one (".", null) takes either, and with wild_bodies so does a body."""
+    known = F.coalesce(F.col("strand"), F.lit(".")) != "."
+    sided = bodies
+    if wild_bodies:
+        sided = bodies.withColumn("strand", F.explode(F.when(known, F.array("strand")).otherwise(F.array(F.lit("+"), F.lit("-")))))
+    return nearest(loci.where(known), sided, ("chrom", "strand")).unionByName(nearest(loci.where(~known), bodies))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .intervals import overlap_join
+from ..functions.sequences import chrom_key
+from .intervals import nearest, overlap_join
 
 #: Worst class first. Fixed values.
 CLASS_RANK = {"overlap": 4, "extension": 3, "x": 2, "i": 1, "u": 0}
@@ -69,8 +70,12 @@ def representatives(classes: DataFrame) -> DataFrame:
 
 
 def name_loci(loci: DataFrame, bodies: DataFrame) -> DataFrame:
-    """locus_id, named_overlap and gene_id: a same-strand coding gene, else any on the strand, else any, by (start, id)."""
-    p = overlap_join(loci.select("locus_id", "chrom", "strand", "start", "end"), bodies.select("chrom", "strand", "start", "end", "gene_id", "biotype"))
+    """locus_id, named_overlap and gene_id: a same-strand coding gene, else any on the strand, else any, by (start, id).
+
+    Contigs are compared by ``chrom_key``, so chr1 and 1 are one.
+    """
+    keyed = lambda df, *more: df.select(chrom_key(F.col("chrom")).alias("chrom"), "strand", "start", "end", *more)
+    p = overlap_join(keyed(loci, "locus_id"), keyed(bodies, "gene_id", "biotype"))
     same = F.col("strand") == F.col("r_strand")
     rank = F.when(same & (F.col("r_biotype") == "protein_coding"), 0).when(same, 1).otherwise(2)
     best = p.groupBy("locus_id").agg(F.min(F.struct(rank.alias("k"), F.col("r_start").alias("s"), F.col("r_gene_id").alias("g"))).alias("b"))
@@ -93,3 +98,24 @@ def replicate_ordinals(sheet: DataFrame) -> DataFrame:
     """Sheet rows with replicate filled by order within the group where it is missing."""
     w = Window.partitionBy("grp").orderBy("row")
     return sheet.withColumn("replicate", F.coalesce("replicate", F.row_number().over(w)))
+
+
+def open_gaps(loci: DataFrame, bodies: DataFrame) -> DataFrame:
+    """locus_id, chrom, nearest_id, before (whether the locus ends before the body) and gap_start, gap_end: the bases between a locus and its nearest body, null where they touch or overlap."""
+    spans = bodies.select(F.col("gene_id").alias("nearest_id"), F.col("start").alias("_gs"), F.col("end").alias("_ge"))
+    near = nearest(loci, bodies).join(spans, "nearest_id")
+    right, left = F.col("_gs") > F.col("end") + 1, F.col("_ge") < F.col("start") - 1
+    return near.select("locus_id", "chrom", "nearest_id", F.when(right, True).when(left, False).alias("before"), F.when(right, F.col("end") + 1).when(left, F.col("_ge") + 1).alias("gap_start"), F.when(right, F.col("_gs") - 1).when(left, F.col("start") - 1).alias("gap_end"))
+
+
+def bridge_support(gaps: DataFrame, introns: DataFrame, exons: DataFrame) -> DataFrame:
+    """locus_id and bridges: distinct fragments with an intron that joins the locus's edge of its gap to an exon edge of the nearest gene.
+
+    gaps as of ``open_gaps``; introns: chrom, start, end, fragment; exons: gene_id, start, end. A locus before its gene
+    needs an intron from the gap's first base to the base before an exon; one after it, from the base after an exon to
+    the gap's last. Loci without a gap or bridge have 0.
+    """
+    x = exons.select(F.col("gene_id").alias("nearest_id"), F.col("start").alias("_xs"), F.col("end").alias("_xe"))
+    edges = gaps.where("before IS NOT NULL").join(x, "nearest_id").select("locus_id", "chrom", F.when(F.col("before"), F.col("gap_start")).otherwise(F.col("_xe") + 1).alias("start"), F.when(F.col("before"), F.col("_xs") - 1).otherwise(F.col("gap_end")).alias("end")).distinct()
+    counted = edges.join(introns, ["chrom", "start", "end"]).groupBy("locus_id").agg(F.count_distinct("fragment").alias("bridges"))
+    return gaps.select("locus_id").join(counted, "locus_id", "left").select("locus_id", F.coalesce("bridges", F.lit(0).cast("long")).alias("bridges"))

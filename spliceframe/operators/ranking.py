@@ -6,18 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Patterns of chromosome classes and of repeat and processed families. Fixed values.
-PRIMARY = r"(?i)^chr([0-9]{1,2}|X|Y)$"
-TRANSPOSON = r"(?i)transpos|retrovir|reverse transcriptase|integrase|gag"
-PROCESSED = r"(?i)ribosomal|keratin|histone|tubulin|actin"
+PRIMARY = r"(?i)^chr([1-9]|1[0-9]|2[0-2]|[XY])$"
+UNPLACED = r"(?i)^(GL|JH|KB|KQ|KI|MU|chrUn|Un_|NW_|NT_)"
+TRANSPOSON = r"(?i)gag|pol\b|rve|rnase[_ ]?h|mlvin|integrase|rvt|ltr|erv\b|transpos|dde_tnp|retrovir|tlv_|capsid|\bcoat\b"
+PROCESSED = r"(?i)atp.?synt|mt_atp|cox[1-3]?\b|cytochrom|nadh_dehydro|ef-hand|aif-1|globin|histone|ubiquitin|gapdh|actin"
 
 
 def chrom_class(chrom: Column) -> Column:
-    return F.when(chrom.rlike(PRIMARY), "primary").when(F.upper(chrom) == "Y", "chrY").otherwise("unplaced")
+    """primary, chrY (a bare y), unplaced (by its prefix, or any other name without chr) or other."""
+    bare = (chrom != "") & ~F.lower(chrom).startswith("chr")
+    return F.when(chrom.rlike(PRIMARY), "primary").when(F.lower(chrom) == "y", "chrY").when(chrom.rlike(UNPLACED) | bare, "unplaced").otherwise("other")
 
 
 def junction_min(text: Column) -> Column:
-    """Least number of a comma list; junk is skipped, none is null."""
-    return F.array_min(F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda x: F.trim(x).try_cast("long")), lambda x: x.isNotNull()))
+    """Least whole number of a list with commas or semicolons; junk is skipped, none is null."""
+    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "[,;]"), lambda x: F.trim(x)), lambda x: x.rlike("^-?[0-9]+$"))
+    return F.array_min(F.transform(parts, lambda x: x.try_cast("long")))
 
 
 def stage_one(df: DataFrame) -> DataFrame:
@@ -35,7 +39,7 @@ def stage_one(df: DataFrame) -> DataFrame:
     rules: list[tuple[Column, Column | float, str | None]] = [
         (kind == "primary", 20.0, None),
         (kind == "chrY", 5.0, "chrY"),
-        (kind == "unplaced", -40.0, "unplaced"),
+        (~kind.isin("primary", "chrY"), -40.0, "unplaced"),
         (exons >= 3, 25.0, None),
         (exons == 2, 12.0, None),
         (exons < 2, 0.0, "monoexon"),
@@ -65,11 +69,14 @@ def stage_one(df: DataFrame) -> DataFrame:
 
 
 def stage_two(df: DataFrame) -> DataFrame:
-    """df (score, n_exons, pfam, phylop) with score2 and flag2: transposons and processed copies lose."""
-    te = F.coalesce(F.col("pfam").rlike(TRANSPOSON), F.lit(False))
-    single = F.col("n_exons") == 1
-    processed = ~te & single & F.coalesce(F.col("pfam").rlike(PROCESSED), F.lit(False))
-    like = ~te & ~processed & single & (F.col("phylop") >= 1.5) & (F.col("pfam") != "")
+    """df (score, n_exons, pfam, phylop, and pfam_desc if there) with score2 and flag2: transposons and processed copies lose.
+
+    Missing exons count as one.
+    """
+    words = F.concat_ws(" ", "pfam", *[c for c in df.columns if c == "pfam_desc"])
+    te, single = words.rlike(TRANSPOSON), F.coalesce("n_exons", F.lit(1)) == 1
+    processed = ~te & single & words.rlike(PROCESSED)
+    like = ~te & ~processed & single & F.coalesce((F.col("phylop") >= 1.5) & (F.col("pfam") != ""), F.lit(False))
     loss = F.when(te, -50.0).when(processed, F.when(F.col("phylop") >= 0.8, -38.0).otherwise(-30.0)).when(like, -12.0).otherwise(0.0)
     flag = F.when(te, "te").when(processed, "processed").when(like, "processed_like").otherwise("")
     return df.withColumns({"score2": F.round(F.col("score") + loss, 6), "flag2": flag})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import reads as R
 from ..operators import coverage, harvest
-from ..operators.intervals import clip, gap, nearest, overlap_join
+from ..operators.intervals import clip, gap, nearest, nearest_stranded, overlap_join
 from .bridge import ctes, view
 from .catalog import query
 
@@ -28,7 +28,7 @@ census AS (SELECT sample_id, grp, chrom, "start", "end", strand, count(*) AS n F
 RECUR = JUNCTIONS + """,
 r AS (SELECT chrom, "start", "end", strand, CAST(sum(n) AS BIGINT) AS support_sum, count(*) AS n_detected, coalesce(max(n) FILTER (grp = 'control'), 0) AS control_max, count(*) FILTER (grp = 'control') AS control_n,
  CAST(coalesce(sum(n) FILTER (grp = 'treat'), 0) AS BIGINT) AS treat_sum, count(*) FILTER (grp = 'treat') AS treat_n FROM census GROUP BY ALL HAVING count(*) >= 2 AND sum(n) >= 2),
-rec AS (SELECT *, CASE WHEN control_n = 0 AND treat_n = 0 THEN 'cohort' WHEN control_max <= 0 THEN 'silent' ELSE 'shared' END AS cohort FROM r)"""
+rec AS (SELECT *, CASE WHEN NOT EXISTS (SELECT 1 FROM aln WHERE grp = 'control') THEN 'cohort' WHEN control_max <= 0 THEN 'silent' ELSE 'shared' END AS cohort FROM r)"""
 
 
 @query("scan_filter_reads", ctes("aln") + f" SELECT sample_id, count(*) AS n_pass, count(*) FILTER (coalesce(nh, 0) = 1) AS n_unique, CAST(sum(pos) AS BIGINT) AS pos_sum FROM aln WHERE {PASS} GROUP BY sample_id")
@@ -88,18 +88,23 @@ def select_junctions(spark: SparkSession, d: str) -> DataFrame:
     return harvest.select_junctions(cohort_recurrence(spark, d), view(spark, d, "genes").select("chrom", "start", "end"))
 
 
-def _nearest_sql(locus: str, same: bool) -> str:
-    match = "g.strand = l.strand" if same else "true"
+def _nearest_sql(locus: str, same: str = "") -> str:
+    match = same or "true"
     return f""" SELECT l.*, n.gene_id AS nearest_id, CAST(n.dist AS BIGINT) AS distance FROM {locus} l LEFT JOIN (SELECT l.locus_id, g.gene_id, greatest(0, g."start" - l."end" - 1, l."start" - g."end" - 1) AS dist,
  row_number() OVER (PARTITION BY l.locus_id ORDER BY greatest(0, g."start" - l."end" - 1, l."start" - g."end" - 1), g.gene_id) AS k FROM {locus} l JOIN genes g ON g.chrom = l.chrom AND {match}) n ON n.locus_id = l.locus_id AND n.k = 1"""
 
 
-@query("nearest_same_strand", ctes("loci", "genes") + _nearest_sql("loci", True))
+@query("nearest_same_strand", ctes("loci", "genes") + _nearest_sql("loci", "(l.strand = '.' OR g.strand = l.strand)"))
 def nearest_same_strand(spark: SparkSession, d: str) -> DataFrame:
-    return nearest(view(spark, d, "loci"), view(spark, d, "genes"), ("chrom", "strand"))
+    return nearest_stranded(view(spark, d, "loci"), view(spark, d, "genes"))
 
 
-@query("nearest_any_strand", ctes("loci", "genes") + _nearest_sql("loci", False))
+@query("nearest_structure", ctes("loci", "genes") + _nearest_sql("loci", "(l.strand = '.' OR g.strand = '.' OR g.strand = l.strand)"))
+def nearest_structure(spark: SparkSession, d: str) -> DataFrame:
+    return nearest_stranded(view(spark, d, "loci"), view(spark, d, "genes"), wild_bodies=True)
+
+
+@query("nearest_any_strand", ctes("loci", "genes") + _nearest_sql("loci"))
 def nearest_any_strand(spark: SparkSession, d: str) -> DataFrame:
     return nearest(view(spark, d, "loci"), view(spark, d, "genes"))
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from ..operators import models, quantify
-from ..operators.intervals import nearest, overlap_join
+from ..operators import coverage, models, quantify
+from ..operators.intervals import overlap_join
 from .bridge import ctes, view
 from .catalog import query
 
@@ -100,7 +100,8 @@ def representative_pick(spark: SparkSession, d: str) -> DataFrame:
 @query("naming_priority", ctes("loci", "genes") + """, p AS (SELECT locus_id, g.gene_id, row_number() OVER (PARTITION BY locus_id ORDER BY k, g."start", g.gene_id) AS r, k FROM (SELECT l.locus_id, g.*, CASE WHEN l.strand = g.strand AND biotype = 'protein_coding' THEN 0 WHEN l.strand = g.strand THEN 1 ELSE 2 END AS k FROM loci l JOIN genes g ON l.chrom = g.chrom AND l."start" <= g."end" AND g."start" <= l."end") g)
  SELECT locus_id, CASE WHEN k IS NULL THEN 'none' WHEN k = 0 THEN 'protein_coding' ELSE 'annotated' END AS named_overlap, p.gene_id FROM loci LEFT JOIN (SELECT * FROM p WHERE r = 1) p USING (locus_id)""")
 def naming_priority(spark: SparkSession, d: str) -> DataFrame:
-    return models.name_loci(view(spark, d, "loci"), view(spark, d, "genes"))
+    genes = view(spark, d, "genes").withColumn("chrom", F.expr("CASE WHEN n_exons = 2 THEN substr(chrom, 4) ELSE chrom END"))
+    return models.name_loci(view(spark, d, "loci"), genes)
 
 
 @query("repeat_fraction", ctes("loci", "repeats") + """ SELECT locus_id, round(CAST(coalesce(sum(least(l."end", r."end") - greatest(l."start", r."start") + 1) FILTER (r.chrom IS NOT NULL), 0) AS DOUBLE) / any_value(l."end" - l."start" + 1), 6) AS rmsk_frac FROM loci l LEFT JOIN repeats r ON l.chrom = r.chrom AND l."start" <= r."end" AND r."start" <= l."end" GROUP BY locus_id""")
@@ -158,7 +159,7 @@ def zero_fill_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 @query("tpm", ctes("aln", "genes") + ", " + _ZERO + " SELECT * FROM tpm")
 def tpm(spark: SparkSession, d: str) -> DataFrame:
-    length = exons(spark, d).groupBy("gene_id").agg(F.sum(F.col("end") - F.col("start") + 1).alias("length"))
+    length = coverage.union_length(exons(spark, d), "gene_id").withColumnRenamed("union_length", "length")
     return quantify.tpm(_matrix(spark, d).join(length, "gene_id")).withColumn("tpm", F.round("tpm", 4))
 
 
@@ -182,17 +183,27 @@ def junction_support(spark: SparkSession, d: str) -> DataFrame:
 @query("open_gap", ctes("loci", "genes") + """, n AS (SELECT l.*, g."start" AS gs, g."end" AS ge, row_number() OVER (PARTITION BY locus_id ORDER BY greatest(0, g."start" - l."end" - 1, l."start" - g."end" - 1), g.gene_id) AS k FROM loci l JOIN genes g USING (chrom))
  SELECT locus_id, CAST(CASE WHEN gs > "end" + 1 THEN "end" + 1 WHEN ge < "start" - 1 THEN ge + 1 END AS BIGINT) AS gap_start, CAST(CASE WHEN gs > "end" + 1 THEN gs - 1 WHEN ge < "start" - 1 THEN "start" - 1 END AS BIGINT) AS gap_end FROM n WHERE k = 1""")
 def open_gap(spark: SparkSession, d: str) -> DataFrame:
-    genes = view(spark, d, "genes")
-    near = nearest(view(spark, d, "loci"), genes).join(genes.select(F.col("gene_id").alias("nearest_id"), F.col("start").alias("gs"), F.col("end").alias("ge")), "nearest_id")
-    right, left = F.col("gs") > F.col("end") + 1, F.col("ge") < F.col("start") - 1
-    return near.select("locus_id", F.when(right, F.col("end") + 1).when(left, F.col("ge") + 1).alias("gap_start"), F.when(right, F.col("gs") - 1).when(left, F.col("start") - 1).alias("gap_end"))
-
-
-@query("bridge_reads", ctes("aln", "genes") + ", " + EXONS + """ SELECT gene_id, count(DISTINCT qname) AS bridges FROM aln JOIN exons USING (chrom) WHERE j_end // 40 = ("start" - 1) // 40 GROUP BY gene_id""")
+    return models.open_gaps(view(spark, d, "loci"), view(spark, d, "genes")).select("locus_id", "gap_start", "gap_end")
+
+
+@query(
+    "bridge_reads",
+    ctes("loci", "genes")
+    + ", "
+    + EXONS
+    + """, n AS (SELECT l.*, CAST(substr(locus_id, 2) AS BIGINT) AS c, g.gene_id, g."start" AS gs, g."end" AS ge, row_number() OVER (PARTITION BY locus_id ORDER BY greatest(0, g."start" - l."end" - 1, l."start" - g."end" - 1), g.gene_id) AS k FROM loci l JOIN genes g USING (chrom)),
+ e AS (SELECT locus_id, c, n.chrom, CASE WHEN gs > n."end" + 1 THEN n."end" + 1 ELSE x."end" + 1 END AS s, CASE WHEN gs > n."end" + 1 THEN x."start" - 1 ELSE n."start" - 1 END AS e FROM n JOIN exons x USING (gene_id) WHERE k = 1 AND (gs > n."end" + 1 OR ge < n."start" - 1)),
+ i AS (SELECT chrom, s, e + CASE WHEN c % 3 = 0 THEN 1 ELSE 0 END AS e, concat('q', c % 20, '_', s % 2) AS q FROM e)
+ SELECT n.locus_id, count(DISTINCT q) AS bridges FROM n LEFT JOIN e USING (locus_id) LEFT JOIN i ON i.chrom = e.chrom AND i.s = e.s AND i.e = e.e WHERE k = 1 GROUP BY n.locus_id""",
+)
 def bridge_reads(spark: SparkSession, d: str) -> DataFrame:
-    a = view(spark, d, "aln").select("chrom", "qname", F.expr("j_end div 40").alias("edge"))
-    x = exons(spark, d).select("chrom", "gene_id", F.expr("(start - 1) div 40").alias("edge"))
-    return a.join(x, ["chrom", "edge"]).groupBy("gene_id").agg(F.count_distinct("qname").alias("bridges"))
+    # reads that join each locus to its gene's exons; those of every third locus end one base late
+    gaps, x = models.open_gaps(view(spark, d, "loci"), view(spark, d, "genes")), exons(spark, d)
+    met = gaps.where("before IS NOT NULL").join(x.select(F.col("gene_id").alias("nearest_id"), F.col("start").alias("xs"), F.col("end").alias("xe")), "nearest_id")
+    c = F.expr("CAST(substr(locus_id, 2) AS BIGINT)")
+    i = met.select("chrom", c.alias("c"), F.expr("if(before, gap_start, xe + 1)").alias("start"), F.expr("if(before, xs - 1, gap_end)").alias("end"))
+    i = i.select("chrom", "start", (F.col("end") + F.when(F.col("c") % 3 == 0, 1).otherwise(0)).alias("end"), F.expr("concat('q', c % 20, '_', start % 2)").alias("fragment"))
+    return models.bridge_support(gaps, i, x)
 
 
 @query("assembly_evidence", ctes("loci", "repeats") + """ SELECT locus_id, value > 1000 AS treat, count(*) AS n_isoforms, max(value) AS max_cov, CAST(max(greatest(abs(l."start" - r."start"), abs(l."end" - r."end"))) AS BIGINT) AS max_delta FROM loci l JOIN repeats r ON l.chrom = r.chrom AND l."start" <= r."end" AND r."start" <= l."end" GROUP BY ALL""")

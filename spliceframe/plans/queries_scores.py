@@ -140,7 +140,7 @@ _fick = " + ".join(
 )
 
 
-@query("fickett_score", ctes("seqs") + ", b AS (SELECT seq_id, length(seq) AS n, unnest(string_split(seq, '')) AS c, unnest(range(0, length(seq))) % 3 AS k, seq FROM seqs WHERE length(seq) >= 2), t AS (SELECT seq_id, any_value(n) AS n, " + ", ".join(f"count(*) FILTER (c = '{b}' AND k = {k}) AS {b}{k}" for b in "ACGT" for k in range(3)) + f" FROM b GROUP BY seq_id) SELECT seq_id, round({_fick}, 6) AS fickett FROM t")
+@query("fickett_score", ctes("seqs") + ", b AS (SELECT seq_id, length(seq) AS n, unnest(string_split(seq, '')) AS c, unnest(range(0, length(seq))) % 3 AS k, seq FROM seqs WHERE length(seq) >= 2), t AS (SELECT seq_id, any_value(n) AS n, " + ", ".join(f"count(*) FILTER (c = '{b}' AND k = {k}) AS {b}{k}" for b in "ACGT" for k in range(3)) + f" FROM b GROUP BY seq_id) SELECT seq_id, coalesce(round({_fick}, 6), 0) AS fickett FROM seqs LEFT JOIN t USING (seq_id)")
 def fickett_score(spark: SparkSession, d: str) -> DataFrame:
     return S.fickett_scores(view(spark, d, "seqs"), "seq_id").withColumn("fickett", F.round("fickett", 6))
 
@@ -166,26 +166,26 @@ def splice_fraction(spark: SparkSession, d: str) -> DataFrame:
     return x.select("seq_id", F.round(F.size(ok) / F.lit(8.0), 6).alias("canonical"))
 
 
-@query("coding_label", ctes("obs") + " SELECT obs_id, CASE WHEN lfc > 1 THEN 'coding' WHEN lfc < -1 THEN 'noncoding' ELSE 'ambiguous' END AS label FROM obs")
+@query("coding_label", ctes("obs") + " SELECT obs_id, CASE WHEN obs_id % 7 = 0 OR obs_id % 11 = 0 THEN 'noncoding' WHEN lfc > 1 THEN 'coding' WHEN lfc < -1 THEN 'noncoding' ELSE 'ambiguous' END AS label FROM obs")
 def coding_label(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, "obs").select("obs_id", S.coding_label(F.col("lfc"), -1.0, 1.0).alias("label"))
+    return view(spark, d, "obs").select("obs_id", S.coding_label(F.expr("CASE WHEN obs_id % 7 = 0 THEN NULL WHEN obs_id % 11 = 0 THEN double('NaN') ELSE lfc END"), -1.0, 1.0).alias("label"))
 
 
-@query("chrom_key", ctes("loci") + " SELECT locus_id, CASE c_ WHEN 'chr3' THEN 'MT' ELSE substr(c_, 4) END AS chrom_key FROM (SELECT locus_id, chrom AS c_ FROM loci)")
+@query("chrom_key", ctes("loci") + " SELECT locus_id, CASE c_ WHEN 'chr3' THEN 'MT' WHEN 'chr4' THEN 'Chr4' WHEN 'chr5' THEN 'MT' ELSE substr(c_, 4) END AS chrom_key FROM (SELECT locus_id, chrom AS c_ FROM loci)")
 def chrom_key(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, "loci").select("locus_id", S.chrom_key(F.expr("CASE chrom WHEN 'chr3' THEN 'ChrM' ELSE chrom END")).alias("chrom_key"))
+    return view(spark, d, "loci").select("locus_id", S.chrom_key(F.expr("CASE chrom WHEN 'chr3' THEN 'chrM' WHEN 'chr4' THEN 'Chr4' WHEN 'chr5' THEN 'mt' ELSE chrom END")).alias("chrom_key"))
 
 
-@query("chrom_class", ctes("loci") + " SELECT locus_id, CASE n_exons WHEN 1 THEN 'primary' WHEN 2 THEN 'chrY' WHEN 3 THEN 'unplaced' ELSE 'primary' END AS kind FROM loci")
+@query("chrom_class", ctes("loci") + " SELECT locus_id, CASE n_exons WHEN 1 THEN 'primary' WHEN 2 THEN 'chrY' WHEN 3 THEN 'unplaced' ELSE CASE strand WHEN '+' THEN 'other' WHEN '-' THEN 'primary' ELSE 'unplaced' END END AS kind FROM loci")
 def chrom_class(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, "loci").select("locus_id", ranking.chrom_class(F.expr("CASE n_exons WHEN 1 THEN chrom WHEN 2 THEN 'y' WHEN 3 THEN 'chrUn_1' ELSE 'CHRX' END")).alias("kind"))
+    return view(spark, d, "loci").select("locus_id", ranking.chrom_class(F.expr("CASE n_exons WHEN 1 THEN chrom WHEN 2 THEN 'y' WHEN 3 THEN 'chrUn_1' ELSE CASE strand WHEN '+' THEN 'chr23' WHEN '-' THEN 'CHRX' ELSE '7' END END")).alias("kind"))
 
 
-@query("exon_structure_codec", ctes("loci") + """ SELECT locus_id, concat("start", '-', "start" + 10, ',', "start" + 30, '-', "end") AS exon_structure FROM loci""")
+@query("exon_structure_codec", ctes("loci") + """ SELECT locus_id, concat("start" + 30, '-', "end", ',', "start", '-', "start" + 10) AS exon_structure FROM loci""")
 def exon_structure_codec(spark: SparkSession, d: str) -> DataFrame:
     from ..functions.exons import decode, encode
 
-    text = view(spark, d, "loci").select("locus_id", F.expr("concat(`end`, '-', start + 30, ',junk,', start, '-', start + 10)").alias("t"))
+    text = view(spark, d, "loci").select("locus_id", F.expr("concat(`end`, '-', start + 30, ',junk,99999999999999999999-5,', start, '-', start + 10)").alias("t"))
     return text.select("locus_id", encode(decode(F.col("t"))).alias("exon_structure"))
 
 
@@ -207,7 +207,7 @@ _SCORE = """, x AS (SELECT locus_id, chrom, "start", "end", n_exons, "end" - "st
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     x = view(spark, d, "loci").withColumn("c", F.expr("CAST(substr(locus_id, 2) AS BIGINT)")).withColumn("length_nt", F.expr("`end` - start + 1"))
     cs = F.expr("(c % 9 - 4) / 5.0D")
-    x = x.withColumns({"junction_support": F.expr("concat(c % 3 + 4, ', ', c % 3, ',x')"), "longest_orf_aa": F.expr("CAST(c * 7 % 300 AS INT)"), "orf_complete": F.expr("c % 2 = 0"), "coding_score": cs, "coding_label": F.when(cs > 0.3, "coding").otherwise("ambiguous"), "nearest_distance_bp": F.expr("c * 97 % 20000"), "nearest_any_distance_bp": F.expr("c * 31 % 900"), "treat_n_detected": F.expr("c % 7")})
+    x = x.withColumns({"junction_support": F.expr("concat(c % 3 + 4, '; ', c % 3, ',x')"), "longest_orf_aa": F.expr("CAST(c * 7 % 300 AS INT)"), "orf_complete": F.expr("c % 2 = 0"), "coding_score": cs, "coding_label": F.when(cs > 0.3, "coding").otherwise("ambiguous"), "nearest_distance_bp": F.expr("c * 97 % 20000"), "nearest_any_distance_bp": F.expr("c * 31 % 900"), "treat_n_detected": F.expr("c % 7")})
     return ranking.stage_one(x)
 
 
@@ -216,11 +216,11 @@ def gene_score_stage1(spark: SparkSession, d: str) -> DataFrame:
     return _scored(spark, d).select("locus_id", "score", "gene_flags")
 
 
-@query("gene_score_stage2", ctes("loci") + _SCORE + """, p AS (SELECT *, CASE c % 5 WHEN 0 THEN 'Integrase core' WHEN 1 THEN 'Ribosomal protein' WHEN 2 THEN 'Zinc finger' ELSE '' END AS pfam, c % 20 / CAST(10 AS DOUBLE) AS phylop FROM z)
+@query("gene_score_stage2", ctes("loci") + _SCORE + """, p AS (SELECT *, CASE c % 5 WHEN 0 THEN 'RVT_1' WHEN 1 THEN 'Globin' WHEN 2 THEN 'Keratin' ELSE '' END AS pfam, c % 20 / CAST(10 AS DOUBLE) AS phylop FROM z)
  SELECT locus_id, round(score + CASE WHEN c % 5 = 0 THEN -50 WHEN n_exons = 1 AND c % 5 = 1 THEN CASE WHEN phylop >= 0.8 THEN -38 ELSE -30 END WHEN n_exons = 1 AND phylop >= 1.5 AND pfam <> '' THEN -12 ELSE 0 END, 6) AS score2,
  CASE WHEN c % 5 = 0 THEN 'te' WHEN n_exons = 1 AND c % 5 = 1 THEN 'processed' WHEN n_exons = 1 AND phylop >= 1.5 AND pfam <> '' THEN 'processed_like' ELSE '' END AS flag2 FROM p""")
 def gene_score_stage2(spark: SparkSession, d: str) -> DataFrame:
-    pfam = F.expr("CASE c % 5 WHEN 0 THEN 'Integrase core' WHEN 1 THEN 'Ribosomal protein' WHEN 2 THEN 'Zinc finger' ELSE '' END")
+    pfam = F.expr("CASE c % 5 WHEN 0 THEN 'RVT_1' WHEN 1 THEN 'Globin' WHEN 2 THEN 'Keratin' ELSE '' END")
     return ranking.stage_two(_scored(spark, d).withColumns({"pfam": pfam, "phylop": F.expr("c % 20 / 10.0D")})).select("locus_id", "score2", "flag2")
 
 

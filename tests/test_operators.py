@@ -103,4 +103,40 @@ def test_longest_orf_by_scan(spark):
 
 def test_exon_text_and_junctions(spark):
     row = spark.sql("SELECT '30-20, x,5-9' AS t, '3, 1,zz' AS j, CAST(NULL AS STRING) AS n").select(exons.encode(exons.decode(F.col("t"))).alias("t"), junction_min(F.col("j")).alias("j"), junction_min(F.col("n")).alias("n")).first()
-    assert (row["t"], row["j"], row["n"]) == ("5-9,20-30", 1, None)
+    assert (row["t"], row["j"], row["n"]) == ("20-30,5-9", 1, None)
+
+
+def test_rules_at_their_edges(spark):
+    row = spark.sql("SELECT '2;3' AS semi, '+4,-1' AS sign, '.' AS dot, 'chr23' AS c23, 'y' AS y, 'GL456.1' AS gl, 'Chr1' AS cap, 'chrMT' AS mt, double('NaN') AS nan, CAST(NULL AS DOUBLE) AS none, '99999999999999999999-3,4-2' AS big").select(
+        junction_min(F.col("semi")).alias("semi"), junction_min(F.col("sign")).alias("sign"), junction_min(F.col("dot")).alias("dot"),
+        *[ranking.chrom_class(F.col(c)).alias(f"k_{c}") for c in ("c23", "y", "gl", "cap")], *[sequences.chrom_key(F.col(c)).alias(f"n_{c}") for c in ("cap", "mt")],
+        *[sequences.coding_label(F.col(c)).alias(f"l_{c}") for c in ("nan", "none")], exons.encode(exons.decode(F.col("big"))).alias("big"),
+    ).first()
+    assert row.asDict() == {"semi": 2, "sign": -1, "dot": None, "k_c23": "other", "k_y": "chrY", "k_gl": "unplaced", "k_cap": "primary", "n_cap": "Chr1", "n_mt": "MT", "l_nan": "noncoding", "l_none": "noncoding", "big": "2-4"}
+
+
+def test_second_stage_patterns(spark):
+    df = spark.createDataFrame([("RVT_1", None, 1.0), ("Globin", None, 0.9), ("Globin", 2, 0.9), ("GAPDH", 1, None), ("Keratin", 1, 1.6), ("", 1, 2.0), (None, 1, 2.0)], "pfam string, n_exons int, phylop double")
+    assert [(r["score2"], r["flag2"]) for r in ranking.stage_two(df.withColumn("score", F.lit(100.0))).collect()] == [(50.0, "te"), (62.0, "processed"), (100.0, ""), (70.0, "processed"), (88.0, "processed_like"), (100.0, ""), (100.0, "")]
+
+
+def test_cohort_and_strands(spark):
+    counts = spark.createDataFrame([("s1", "treat", "c", 1, 9, "+", 2), ("s2", "treat", "c", 1, 9, "+", 3)], "sample_id string, grp string, chrom string, start long, end long, strand string, n long")
+    assert harvest.recurrence(counts).first()["cohort"] == "silent"
+    assert harvest.recurrence(counts, has_controls=False).first()["cohort"] == "cohort"
+    loci = spark.createDataFrame([("a", "c", 100, 110, "."), ("b", "c", 100, 110, "-"), ("b", "c", 100, 110, "-")], "locus_id string, chrom string, start long, end long, strand string")
+    bodies = spark.createDataFrame([("g", "c", 200, 210, "+"), ("h", "c", 300, 310, "."), ("i", "c", 900, 910, "-")], "gene_id string, chrom string, start long, end long, strand string")
+    of = lambda wild: sorted((r["locus_id"], r["nearest_id"], r["distance"]) for r in intervals.nearest_stranded(loci, bodies, wild).collect())
+    assert of(False) == [("a", "g", 89), ("b", "i", 789), ("b", "i", 789)]
+    assert of(True) == [("a", "g", 89), ("b", "h", 189), ("b", "h", 189)]
+
+
+def test_bridges(spark):
+    loci = spark.createDataFrame([("l", "c", 100, 150, "+"), ("r", "c", 500, 550, "+"), ("o", "c", 310, 320, "+")], "locus_id string, chrom string, start long, end long, strand string")
+    bodies = spark.createDataFrame([("g", "c", 300, 400)], "gene_id string, chrom string, start long, end long")
+    exons_ = spark.createDataFrame([("g", 300, 330), ("g", 360, 400)], "gene_id string, start long, end long")
+    introns = spark.createDataFrame([("c", 151, 299, "q1"), ("c", 151, 299, "q1"), ("c", 151, 359, "q2"), ("c", 152, 299, "q3"), ("c", 331, 499, "q4"), ("c", 401, 498, "q5")], "chrom string, start long, end long, fragment string")
+    from spliceframe.operators import models
+
+    got = {r["locus_id"]: r["bridges"] for r in models.bridge_support(models.open_gaps(loci, bodies), introns, exons_).collect()}
+    assert got == {"l": 2, "r": 1, "o": 0}

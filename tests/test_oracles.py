@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from spliceframe.plans.registry import ORACLES, QUERIES
@@ -12,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def rows(df):
     df = df[sorted(df.columns)]
-    plain = lambda v: None if v is None or v != v else f"{v:.6g}" if isinstance(v, float) and v != int(v) else str(int(v)) if isinstance(v, float) or "int" in type(v).__name__ else str(v)
+    plain = lambda v: None if pd.isna(v) else f"{v:.6g}" if isinstance(v, float) and v != int(v) else str(int(v)) if isinstance(v, float) or "int" in type(v).__name__ else str(v)
     return sorted(str([plain(v) for v in r]) for r in df.itertuples(index=False, name=None))
 
 
