@@ -91,7 +91,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         },
     ),
 }
-_STRIP = {"spark": "regexp_replace(coalesce(text, ''), '[^A-Za-z]', '')", "duckdb": "regexp_replace(substr(coalesce(text, ''), 1, 400), '[^A-Za-z]', '', 'g')"}
+_STRIP = {"spark": "regexp_replace(coalesce(text, ''), '[^A-Za-z]', '')", "duckdb": "regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')"}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -141,7 +141,7 @@ def within_distance_semi(spark: SparkSession, d: str) -> DataFrame:
     return overlap_join(view(spark, d, "loci"), view(spark, d, "genes").where("biotype = 'snRNA'"), how="semi", pad=200)
 
 
-@query("clip_intervals", ctes("loci") + """ SELECT locus_id, greatest(1, "start" - 300) AS "start", least(60000, "end" + 300) AS "end" FROM loci WHERE "start" - 300 <= 60000""")
+@query("clip_intervals", ctes("loci") + """ SELECT locus_id, least(greatest(1, "start" - 300), n) AS "start", least(n, "end" + 300) AS "end" FROM loci JOIN (SELECT chrom, max("end") AS n FROM loci GROUP BY chrom) USING (chrom)""")
 def clip_intervals(spark: SparkSession, d: str) -> DataFrame:
     # the tables name no contig lengths, so a contig ends with its last locus
     loci = view(spark, d, "loci")

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from spliceframe.functions import exons, reads, sequences
-from spliceframe.operators import coverage, harvest, intervals
+from spliceframe.operators import coverage, harvest, intervals, ranking
 from spliceframe.operators.gates import cascade
 from spliceframe.operators.ranking import junction_min
 
