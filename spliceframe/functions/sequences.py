@@ -46,7 +46,7 @@ def longest_orfs(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
     """
 
     def best(frame: int) -> Column:
-        spaced = F.regexp_replace(F.substring(F.upper(F.col(seq)), frame + 1, 2**31 - 1), "(?s)(.{3})", "$1 ")
+        spaced = F.regexp_replace(F.substring("_seq", frame + 1, 2**31 - 1), "(?s)(.{3})", "$1 ")
         pieces = F.split(spaced, "(?:" + "|".join(STOPS) + ") ", -1)
         start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit(0).alias("aa"), F.lit(0).alias("from"), F.lit(0).alias("piece"))
 
@@ -64,7 +64,9 @@ def longest_orfs(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
 
         return F.aggregate(pieces, start, step, lambda acc: F.struct((-acc["aa"]).alias("a"), F.lit(frame).alias("frame"), (acc["from"] * 3 + frame).alias("start"), (acc["piece"] < acc["n"] - 1).alias("complete")))
 
-    out = df.select(key, F.array_min(F.array(*[best(f) for f in range(3)])).alias("_o")).where("_o.a < 0")
+    # an outer explode of one value keeps it from being computed anew for each use
+    once = df.select(key, F.explode_outer(F.array(F.upper(F.col(seq)))).alias("_seq"))
+    out = once.select(key, F.explode_outer(F.array(F.array_min(F.array(*[best(f) for f in range(3)])))).alias("_o")).where("_o.a < 0")
     return out.select(key, (-F.col("_o.a")).alias("aa"), F.col("_o.frame").alias("frame"), F.col("_o.start").alias("start"), F.col("_o.complete").alias("complete"))
 
 
@@ -81,8 +83,10 @@ def fickett_scores(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
     Every third base is taken by one expression for each place in the codon and counted by length: no rows, no shuffle.
     """
     whole = F.translate(F.upper(F.coalesce(F.col(seq), F.lit(""))), "U", "T")
-    third = [F.regexp_replace(F.substring(whole, k + 1, 2**31 - 1), "(?s)(.).{0,2}", "$1").alias(f"_third{k}") for k in range(3)]
-    rows = df.select(key, F.length(whole).alias("_length"), *third)
+    third = [F.regexp_replace(F.substring("_seq", k + 1, 2**31 - 1), "(?s)(.).{0,2}", "$1").alias(f"_third{k}") for k in range(3)]
+    # an outer explode of one value keeps it from being computed anew for each use
+    once = df.select(key, F.explode_outer(F.array(whole)).alias("_seq"))
+    rows = once.select(key, F.explode_outer(F.array(F.struct(F.length("_seq").alias("_length"), *third))).alias("_x")).select(key, "_x.*")
     counts = [(F.length(f"_third{k}") - F.length(F.replace(F.col(f"_third{k}"), F.lit(b), F.lit("")))).alias(f"_{b}{k}") for b in "ACGT" for k in range(3)]
     c = rows.select(key, "_length", *counts)
     total = F.lit(0.0)

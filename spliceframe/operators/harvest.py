@@ -21,12 +21,13 @@ def junction_reads(aln: DataFrame, min_mapq: int = 10, unique_only: bool = False
         ok = ok & (F.coalesce("nh", F.lit(0)) == 1)
     paired = R.has(F.col("flag"), R.PAIRED)
     kept = aln.where(ok & (~paired | R.has(F.col("flag"), R.PROPER)))
-    kept = kept.withColumns({"paired": paired, "strand": F.coalesce(R.inferred_strand(F.col("flag"), F.col("library")), F.lit(".")), "introns": R.introns(F.col("pos"), F.col("cigar"))})
+    strand = F.coalesce(R.inferred_strand(F.col("flag"), F.col("library")), F.lit("."))
     # outer, as an inner explode filters by its array first and so computes it twice
-    single = kept.where("NOT paired").select("sample_id", "grp", "chrom", "strand", F.explode_outer("introns").alias("i")).where("i IS NOT NULL")
-    fragments = kept.where("paired").groupBy("sample_id", "qname").agg(F.count(F.lit(1)).alias("_n"), F.first("grp").alias("grp"), F.flatten(F.collect_list(F.expr("transform(introns, x -> named_struct('chrom', chrom, 'strand', strand, 's', x.s, 'e', x.e))"))).alias("_i")).where("_n = 2")
-    both = fragments.select("sample_id", "grp", F.explode_outer(F.array_distinct("_i")).alias("i")).where("i IS NOT NULL").select("sample_id", "grp", "i.chrom", "i.strand", F.col("i.s").alias("start"), F.col("i.e").alias("end"))
-    return single.select("sample_id", "grp", "chrom", "strand", F.col("i.s").alias("start"), F.col("i.e").alias("end")).unionByName(both)
+    each = kept.where(F.col("cigar").contains("N")).select("sample_id", "grp", "qname", "chrom", strand.alias("strand"), paired.alias("_paired"), F.explode_outer(R.introns(F.col("pos"), F.col("cigar"))).alias("i")).where("i IS NOT NULL")
+    each = each.select("sample_id", "grp", "qname", "chrom", "strand", F.col("i.s").alias("start"), F.col("i.e").alias("end"), "_paired")
+    whole = kept.where(paired).groupBy("sample_id", "qname").agg(F.count(F.lit(1)).alias("_n")).where("_n = 2").select("sample_id", "qname")
+    both = each.where("_paired").distinct().join(whole, ["sample_id", "qname"], "left_semi")
+    return each.where("NOT _paired").unionByName(both).drop("qname", "_paired")
 
 
 def census(junctions: DataFrame) -> DataFrame:
