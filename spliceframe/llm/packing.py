@@ -71,7 +71,7 @@ def pieces(docs: DataFrame, tokenizer: str, groups: int, length: int = LENGTH, e
                     size.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
                     total.append(n)
-                    group.append(zlib.crc32(b"%d %d %d" % (seed, row, s)) % groups)
+                    group.append(zlib.crc32(b"%d %d" % (seed, row)) % groups)
             long = [pa.array(x, pa.int64()) for x in (start, size, crc, total)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(index, pa.int64())), *long, pa.array(group, pa.int32())], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_group"])
 
@@ -81,9 +81,9 @@ def pieces(docs: DataFrame, tokenizer: str, groups: int, length: int = LENGTH, e
 def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, group_docs: int = GROUP_DOCS) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset of each piece.
 
-    Pieces go to random groups of about ``group_docs`` documents; each is packed alone, so a task holds a bounded
+    Documents go to random groups of about ``group_docs``, with all their pieces; each is packed alone, so a task holds a bounded
     number of small rows whatever the input, and at most one sequence a group stays unfilled beyond first-fit's own
-    loss. Groups come from ids, row and place, so repeated rows and null ids spread too. Null and empty texts: one
+    loss. Groups come from ids and row, so repeated rows and null ids spread too. Null and empty texts: one
     piece with the end id alone. No documents: no rows. Other columns are not read.
     """
     groups = max(1, -(-docs.count() // group_docs))

@@ -7,12 +7,13 @@ white space, where that could differ, is encoded whole.
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
 
-#: Units kept at most; then the store starts anew.
-KEPT = 400_000
+#: Characters of kept units, and of kept pre-tokens; then the store starts anew. Longer ones than KEPT_UNIT aren't kept.
+KEPT, KEPT_UNIT = 8_000_000, 64
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
 
@@ -30,18 +31,31 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def checked(path: str, spaces_count: bool):
+    """The library's tokenizer of a file whose pre-tokens are those that this module knows; ValueError for others."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    own = json.loads(library.to_str())
+    kinds = lambda x, inner: [y["type"] for y in x[inner]] if x and x["type"] == "Sequence" else [x["type"]] if x else []
+    have = (kinds(own["normalizer"], "normalizers"), kinds(own["pre_tokenizer"], "pretokenizers"), own["model"]["type"])
+    want = ([], ["ByteLevel"], "BPE") if spaces_count else (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "BPE")
+    if have != want or (spaces_count and (own["pre_tokenizer"]["add_prefix_space"] or not own["pre_tokenizer"]["use_regex"])):
+        raise ValueError(f"{path}: its normalizer, pre-tokenizer or model is not one that units are known for: {have}")
+    return library
+
+
 class UnitEncoder:
     """Encodes by the library, remembering units and pre-tokens."""
 
     def __init__(self, path: str, spaces_count: bool):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.library = checked(path, spaces_count)
         self.model, self.letters = self.library.model, byte_letters()
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.sizes = [0, 0]
         self.spaces_count = spaces_count
         #: Where white space is dropped, units need not carry it.
         self.split = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+").findall if spaces_count else str.split
@@ -53,23 +67,28 @@ class UnitEncoder:
         found = self.parts.get(pretoken)
         if found is None:
             coded = self.model.tokenize(pretoken.encode().decode("latin-1").translate(self.letters))
-            found = self.parts[pretoken] = b"".join([t.id.to_bytes(4, "little") for t in coded])
+            found = b"".join([t.id.to_bytes(4, "little") for t in coded])
+            if len(pretoken) <= KEPT_UNIT:
+                self._keep(0, self.parts, pretoken, found)
         return found
 
-    def learn(self, units: list[str]) -> None:
-        fresh = [u for u in set(units) if u not in self.known]
-        if len(self.known) + len(fresh) > KEPT:
-            self.known = {}
-            fresh = list(set(units))
-        if len(self.parts) > KEPT:
-            self.parts = {}
-        for unit in fresh:
+    def _keep(self, which: int, store: dict[str, bytes], key: str, value: bytes) -> None:
+        self.sizes[which] += len(key) + 16
+        if self.sizes[which] > KEPT:
+            store.clear()
+            self.sizes[which] = len(key) + 16
+        store[key] = value
+
+    def unit(self, unit: str) -> bytes:
+        found = self.known.get(unit)
+        if found is None:
             if not SIMPLE(unit):
-                self.known[unit] = np.array(self.ids(unit), "<u4").tobytes()
-            elif self.spaces_count:
-                self.known[unit] = b"".join(map(self.part, SPACED(unit)))
+                found = np.array(self.ids(unit), "<u4").tobytes()
             else:
-                self.known[unit] = b"".join(map(self.part, BARE(unit.lower())))
+                found = b"".join(map(self.part, SPACED(unit) if self.spaces_count else BARE(unit.lower())))
+            if len(unit) <= KEPT_UNIT:
+                self._keep(1, self.known, unit, found)
+        return found
 
     def units(self, text: str) -> list[str]:
         return [text] if OTHER_SPACE.search(text) else self.split(text)
@@ -80,8 +99,7 @@ class UnitEncoder:
         try:
             return b"".join(map(self.known.__getitem__, units))
         except KeyError:
-            self.learn(units)
-            return b"".join(map(self.known.__getitem__, units))
+            return b"".join(map(self.unit, units))
 
 
 _encoders: dict[tuple[str, bool], UnitEncoder] = {}

@@ -37,13 +37,17 @@ def test_token_counts(docs, texts):
     library = Tokenizer.from_file(path)
     want = Counter((i, len((t or "").encode()), n := len(library.encode(t or "", add_special_tokens=False).ids), n > 1024) for i, t in texts)
     assert Counter((r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in token_counts.token_counts(docs, path).collect()) == want
-    by = tokens.UnitEncoder(path, True)
-    for text in ["", "ab  cd's, 12\n\nx", AWKWARD[7]]:
+    by = token_counts.PrefixTable(path)
+    r = random.Random(4)
+    made = ["".join(r.choice([*"aB cZé ß.,!'\"<>|0 9\t\n\r  \x1c\xa0\u2028İσ漢😀", "<|endoftext|>", "'re", "don't", "'ll", "   ", "tion", "Straße "]) for _ in range(r.randint(0, 14))) for _ in range(600)]
+    long_ = ["x" * 300 + "漢字" * 200 + "\xa0" + "ab1" * 100, "=" * 200 + " " * 90 + "q"]
+    for text in ["", "ab  cd's, 12\n\nx", AWKWARD[7], *made, *long_, *[t for _, t in texts if t and len(t) < 600][:40]]:
         p = token_counts.PrefixCounts(text, by)
         exact = [len(library.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)]
-        if not tokens.OTHER_SPACE.search(text):
-            assert p.table() == exact == [p.count(k) for k in range(len(text) + 1)]
+        assert p.table() == exact == [p.count(k) for k in range(len(text) + 1)], ascii(text)
         assert p.total() == exact[-1]
+        for budget in (0, 1, exact[-1] // 2, exact[-1]):
+            assert p.within(budget) == max(k for k, n in enumerate(exact) if n <= budget)
 
 
 def test_units_equal_the_library():
