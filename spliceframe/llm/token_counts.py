@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-from array import array
 from bisect import bisect_right
 from itertools import accumulate
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from .tokens import SIMPLE, SPACED, byte_letters, checked
 
 LIMIT = 1024
 #: Characters of units and pre-tokens, and pairs of tokens, that a worker remembers at most; then each store starts anew.
-KEPT_CHARS, KEPT_PAIRS = 8_000_000, 500_000
+KEPT_CHARS, KEPT_PAIRS = 16_000_000, 500_000
 #: Units are a run of white space (Unicode's, as the pre-tokenizer has it) and the run of other characters behind it.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNITS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+").findall
@@ -41,45 +41,48 @@ class PrefixTable:
         self.split_special = re.compile("|".join(map(re.escape, self.special))).finditer
         special = set(self.special)
         self.vocabulary = {bytes([back[c] for c in t]): i for t, i in self.library.get_vocab(with_added_tokens=True).items() if t not in special}
-        lengths: dict[int, set[int]] = {}
-        for t in self.vocabulary:
-            lengths.setdefault(t[-1], set()).add(len(t))
-        self.lengths = {b: sorted(n) for b, n in lengths.items()}
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.parts: dict[str, array] = {}
+        #: Finds all tokens that end at each byte (as a latin-1 character).
+        self.ending = ahocorasick.Automaton()
+        for t, i in self.vocabulary.items():
+            self.ending.add_word(t.decode("latin-1"), (len(t), i))
+        self.ending.make_automaton()
+        self.named = {i: t for t, i in self.vocabulary.items()}
+        self.wide = max(self.named) + 2
+        self.fits: dict[int, bool] = {}
+        self.parts: dict[str, bytes] = {}
         self.totals: dict[str, int] = {}
         self.kept = [0, 0]
 
-    def follows(self, last: bytes, token: bytes) -> bool:
-        found = self.fits.get((last, token))
-        if found is None:
-            if len(self.fits) > KEPT_PAIRS:
-                self.fits.clear()
-            coded = self.model.tokenize((last + token).decode("latin-1").translate(self.letters))
-            want = [self.vocabulary[last], self.vocabulary[token]] if last else [self.vocabulary[token]]
-            found = self.fits[last, token] = [t.id for t in coded] == want
+    def follows(self, last: int, token: int) -> bool:
+        """Whether two tokens, -1 for none, encode to themselves."""
+        if len(self.fits) > KEPT_PAIRS:
+            self.fits.clear()
+        data = self.named[token] if last < 0 else self.named[last] + self.named[token]
+        coded = self.model.tokenize(data.decode("latin-1").translate(self.letters))
+        found = self.fits[(last + 1) * self.wide + token] = [t.id for t in coded] == ([token] if last < 0 else [last, token])
         return found
 
-    def part(self, pretoken: str) -> array:
+    def part(self, pretoken: str) -> bytes | list[int]:
         """Counts after each byte of a pre-token."""
         counts = self.parts.get(pretoken)
         if counts is not None:
             return counts
-        data = pretoken.encode()
-        vocabulary, lengths, follows = self.vocabulary, self.lengths, self.follows
-        counts, last = array("i", [0]), [b""]
-        for end in range(1, len(data) + 1):
-            for size in lengths[data[end - 1]]:
-                if size > end:
-                    continue
-                token = data[end - size : end]
-                if token in vocabulary and follows(last[end - size], token):
-                    counts.append(counts[end - size] + 1)
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("no token follows")
-        if len(pretoken) <= 64:
+        data = pretoken.encode().decode("latin-1")
+        fits, follows, wide = self.fits, self.follows, self.wide
+        counts, last, here = [0], [-1], 0
+        for end, (size, token) in self.ending.iter(data):
+            if end < here:  # this place has its token
+                continue
+            before = last[end + 1 - size]
+            fit = fits.get((before + 1) * wide + token)
+            if fit or (fit is None and follows(before, token)):
+                counts.append(counts[end + 1 - size] + 1)
+                last.append(token)
+                here += 1
+        if here < len(data):
+            raise ValueError("no token follows")
+        if len(pretoken) <= 64 and len(data) < 256:
+            counts = bytes(counts)
             self._keep(0, self.parts, pretoken)
             self.parts[pretoken] = counts
         return counts
@@ -134,6 +137,13 @@ class PrefixTable:
             at = end
         return out
 
+    def text(self, units: list[str]) -> int:
+        """Tokens of all units."""
+        try:
+            return sum(map(self.totals.__getitem__, units))
+        except KeyError:
+            return sum(map(self.total, units))
+
     def total(self, unit: str) -> int:
         found = self.totals.get(unit)
         if found is None:
@@ -150,8 +160,8 @@ class PrefixTable:
 class PrefixCounts:
     """Exact token counts of all prefixes of one text: ``ends[k]`` and ``sums[k]`` are code points and tokens up to unit k, and a unit's table has the rest."""
 
-    def __init__(self, text: str, by: PrefixTable):
-        self.by, self.units = by, UNITS(text)
+    def __init__(self, text: str, by: PrefixTable, units: list[str] | None = None):
+        self.by, self.units = by, UNITS(text) if units is None else units
         self.ends = [0, *accumulate(map(len, self.units))]
         self.sums = [0, *accumulate(map(by.total, self.units))]
 
@@ -206,9 +216,10 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT, prefixes:
             texts = [t or "" for t in b.column("text").to_pylist()]
             rows = []
             for t in texts:
-                n = sum(map(by.total, UNITS(t)))
+                units = UNITS(t)
+                n = by.text(units)
                 over = n > limit
-                p = PrefixCounts(t, by) if over or prefixes else None
+                p = PrefixCounts(t, by, units) if over or prefixes else None
                 rows.append((len(t.encode()), n, over, p.within(limit) if p else len(t), p.table() if prefixes else None))
             out = [b.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.bool_()), pa.array([r[3] for r in rows], pa.int64())]
             names = ["doc_id", "n_bytes", "n_tokens", "over_limit", "budget_chars"]
