@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import re
 import zlib
 from collections.abc import Callable
 
@@ -10,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a label sample, and code points above which a text isn't taken into it.
-SAMPLE_ROWS, SAMPLE_CHARS = 4000, 30_000
+#: Rows of a label sample.
+SAMPLE_ROWS = 4000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as spark.checkpoint.dir names it. Set here only where the session has none, as in tests."""
+    """The folder all executors share, as spark.checkpoint.dir names it. Where it is unset: one for tests on a local master, else an error."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or "/tmp/checkpoints")
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -38,18 +41,17 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def label_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
+def label_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """_id, _text, _y of at most ``rows`` labelled documents that aren't held out, half of them of either label where there are as many.
 
     Labels are sampled by a hash of the id before they meet the texts, so the join broadcasts at most ``rows`` rows
-    and reads documents once without a shuffle. Ids with both labels count as 1. Null ids, null labels and texts
-    over ``chars`` code points are left out.
+    and reads documents once without a shuffle. Ids with both labels count as 1. Null ids and null labels are left out.
     """
     usable = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).where(F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & ~held_out("_id"))
     each = usable.groupBy("_id").agg(F.max("_y").alias("_y"))
     order = F.xxhash64("_id")
     some = each.where("_y = 1").orderBy(order, "_id").limit(rows // 2).unionAll(each.where("_y = 0").orderBy(order, "_id").limit(rows // 2))
-    return docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_text")).where(F.length("_text") <= chars).join(F.broadcast(some), "_id").select("_id", "_text", "_y")
+    return docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_text")).where(F.col("_text").isNotNull()).join(F.broadcast(some), "_id").select("_id", "_text", "_y")
 
 
 def trained(sample: DataFrame, train: Callable[[list[tuple[str, int]]], object]) -> object:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import pickle
 import re
+from functools import lru_cache
 from os.path import commonprefix
 
 import numpy as np
@@ -27,15 +28,36 @@ ARTICLE = {"article", "main"}
 OPTIONAL = set("p li dt dd td th tr".split())
 #: Pages without an article up to which their shared lines are broadcast.
 BROADCAST_PAGES = 50_000
-#: Words of a class, id or role that mark what isn't the article.
-MARKED = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|side|nav\w*|menu|breadcrumb\w*|header|masthead|footer|cookie\w*|consent|notice|alert|popup|modal|newsletter|subscribe|share|social|comment\w*|disqus|replies|respond|related|widget|search|login)(?:[\s_-]|$)"
-)
+#: Words of a class, id or role that mark what isn't the article, and words that may stand beside them in one name. Fixed values.
+MARKED = (
+    "ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored sponsors promo promos promotion sidebar side nav navbar navigation navigational menu menus breadcrumb breadcrumbs header masthead footer cookie cookies consent notice notices alert alerts popup modal newsletter subscribe subscription share sharing social comment comments disqus replies reply respond related widget widgets search login signup"
+).split()
+BESIDE = "site page main top bottom left right primary secondary global sub mobile desktop area list item items bar box block container wrapper wrap inner outer content section slot unit group panel col column row links link buttons button btn form text title thread post posts article stories story footer media icons".split()
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?|[^<]+|<", re.S)
-MARKS = re.compile(r"(?i)\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-HIDDEN = re.compile(r"(?i)(?:\bhidden\b(?!\s*=\s*[\"']?false)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none)")
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+NO_DISPLAY = re.compile(r"(?i)(?:^|;)\s*display\s*:\s*none\b")
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 SPACE = re.compile(r"\s+")
-_dropped, _aside, _blocks = set(DROPPED), set(ASIDE), set(BLOCKS)
+_dropped, _aside, _blocks, _marked, _beside = set(DROPPED), set(ASIDE), set(BLOCKS), set(MARKED), set(BESIDE)
+
+
+@lru_cache(4096)
+def marked_name(name: str) -> bool:
+    """Whether a class, id or role says other than main text: all its parts are marked words, words that go beside them or numbers."""
+    parts = [p.lower() for p in PARTS.findall(name)]
+    return any(p in _marked for p in parts) and all(p in _marked or p in _beside or p.isdigit() for p in parts)
+
+
+@lru_cache(4096)
+def ruled_out(attributes: str) -> bool:
+    """Whether a tag's attributes hide it or mark it: the attribute hidden, aria-hidden, display:none in its style, or a marked name."""
+    for name, value in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), value.strip("\"'")
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and NO_DISPLAY.search(value)):
+            return True
+        if name in ("class", "id", "role") and any(map(marked_name, value.split())):
+            return True
+    return False
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
@@ -95,7 +117,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
             continue
         marks = name in _aside and not (name == "header" and inside)
         if attributes and not marks:
-            marks = any(MARKED.search(" ".join(x)) for x in MARKS.findall(attributes)) or bool(HIDDEN.search(attributes))
+            marks = ruled_out(attributes) if len(attributes) < 1000 else ruled_out.__wrapped__(attributes)
         holds = name in ARTICLE and not marks
         if marks or holds or open_.get(name):
             close_block()
@@ -191,7 +213,8 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     would share its text. The nearer has the longer common start of path, of equal ones the one before. Null urls are
     each a path of their own. At most six entries of each range are sent to all tasks. A task holds its range's hashes.
     """
-    ordered = cut(_lines(pages).repartitionByRange("host", "path", "_key").sortWithinPartitions("host", "path", "_key"))
+    # cut first, as finding the ranges reads everything once more
+    ordered = cut(cut(_lines(pages)).repartitionByRange("host", "path", "_key").sortWithinPartitions("host", "path", "_key"))
 
     def read(batches):
         for b in batches:

@@ -251,7 +251,7 @@ def components(edges: DataFrame) -> DataFrame:
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).union(edges.select(F.col("b"), F.col("b")).distinct())
-        before, parts = state, edges.rdd.getNumPartitions()
+        before, parts = state, max(1, edges.rdd.getNumPartitions())
         both = edges.union(edges.select("b", "a")).toDF("u", "v").coalesce(parts)
         least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").coalesce(parts)
@@ -293,12 +293,12 @@ def drop_near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFram
     repeated = marked.where("copies > 1")
     gone = cut(marked.where("NOT keep").select("doc_id", "id"))
     small = gone.count() <= BROADCAST_IDS
-    keyed = docs.withColumn("_id", F.when(F.length(F.col("text").cast("string")) > 0, F.unhex(F.md5(F.col("text").cast("binary")))))
+    keyed = docs.withColumn("_near_text_id", F.when(F.length(F.col("text").cast("string")) > 0, F.unhex(F.md5(F.col("text").cast("binary")))))
     g = gone.select(F.col("doc_id").alias("_doc"), F.col("id").alias("_gone"))
-    on = keyed["_id"].eqNullSafe(g["_gone"]) & keyed["doc_id"].eqNullSafe(g["_doc"])
+    on = keyed["_near_text_id"].eqNullSafe(g["_gone"]) & keyed["doc_id"].eqNullSafe(g["_doc"])
     kept = keyed.join(F.broadcast(g) if small else g, on, "left_anti")
     if not repeated.isEmpty():
-        kept = kept.where("_id IS NULL").unionByName(kept.where("_id IS NOT NULL").dropDuplicates(["doc_id", "_id"]))
+        kept = kept.where("_near_text_id IS NULL").unionByName(kept.where("_near_text_id IS NOT NULL").dropDuplicates(["doc_id", "_near_text_id"]))
     return kept.select(*docs.columns)
 
 

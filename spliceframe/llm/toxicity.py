@@ -16,9 +16,11 @@ from .common import held_out, label_sample, trained
 THRESHOLD = 0.7
 #: Hashed character n-grams, their lengths and the size of their vectors.
 BUCKETS, GRAMS, SIZE = 1 << 18, (3, 4, 5, 6), 4
-#: Words of a bag. A document is as toxic as its most toxic bag, so length doesn't thin a few words out.
+#: Words of a bag, whose vectors are averaged. A document is as toxic as its most toxic run of BAG words, wherever that
+#: begins, so neither length nor place thins a few words out; training takes the runs end to end.
 BAG = 8
-KEPT = 300_000
+#: Characters of the words that a worker remembers; characters of a word's pieces, which overlap so that no n-gram is lost.
+KEPT, PIECE = 8_000_000, 64
 #: Largest step of a vector.
 RATE = 8.0
 #: Log-likelihood ratio, between documents of either label, that an n-gram needs to be trained; others stay at zero.
@@ -26,8 +28,14 @@ LEAST_RATIO = 20.0
 WORD = re.compile(r"[^\W_]+").findall
 
 
+def pieces(word: str) -> list[str]:
+    """The word; a very long one in pieces, so that its n-grams never stand in memory at once."""
+    step = PIECE - max(GRAMS) + 1
+    return [word] if len(word) <= PIECE else [word[i : i + PIECE] for i in range(0, len(word) - max(GRAMS) + 1, step)]
+
+
 def grams(word: str) -> list[int]:
-    """Buckets of the word itself and its character n-grams, ends marked."""
+    """Buckets of a piece itself and its character n-grams, ends marked."""
     w = f"<{word}>"
     data = [w[i : i + n] for n in GRAMS for i in range(len(w) - n + 1)]
     return [zlib.crc32(x.encode()) % BUCKETS for x in dict.fromkeys([w, *data])]
@@ -39,31 +47,36 @@ class ToxicModel:
     def __init__(self, pull: np.ndarray, bias: float, bag: int = BAG):
         self.pull, self.bias, self.bag = pull.astype(np.float32), float(bias), bag
         self.known: dict[str, float] = {}
+        self.kept = 0
 
     def __getstate__(self):
-        return self.__dict__ | {"known": {}}
+        return self.__dict__ | {"known": {}, "kept": 0}
 
     def word(self, w: str) -> float:
-        return float(self.pull[grams(w)].mean())
+        """The mean over a word's n-grams, over its pieces where it is very long."""
+        found = self.known.get(w)
+        if found is None:
+            each = [float(self.pull[grams(x)].mean()) for x in pieces(w)]
+            found = sum(each) / len(each)
+            if len(w) <= PIECE:
+                self.kept += len(w) + 16
+                if self.kept > KEPT:
+                    self.known.clear()
+                    self.kept = len(w) + 16
+                self.known[w] = found
+        return found
 
     def score(self, text: str | None) -> float:
         words = WORD(text.lower()) if text else []
-        known = self.known
         try:
-            pulls = list(map(known.__getitem__, words))
+            pulls = list(map(self.known.__getitem__, words))
         except KeyError:
-            if len(known) > KEPT:
-                known.clear()
-            for w in set(words):
-                if w not in known:
-                    known[w] = self.word(w)
-            pulls = list(map(known.__getitem__, words))
-        if not pulls:
-            best = 0.0
+            pulls = list(map(self.word, words))
+        if len(pulls) <= self.bag:
+            best = sum(pulls) / len(pulls) if pulls else 0.0
         else:
-            p = np.array(pulls)
-            starts = np.arange(0, len(p), self.bag)
-            best = float((np.add.reduceat(p, starts) / np.diff(np.append(starts, len(p)))).max())
+            total = np.concatenate([[0.0], np.cumsum(np.array(pulls, np.float64))])
+            best = float((total[self.bag :] - total[: -self.bag]).max()) / self.bag
         return float(1 / (1 + np.exp(-np.clip(best + self.bias, -30, 30))))
 
 
@@ -95,7 +108,7 @@ def train(sample: list[tuple[str, int]], rounds: int = 80, seed: int = 7) -> Tox
     vocabulary: dict[str, int] = {}
     words, bag_of, doc_of_bag, labels = [], [], [], []
     for d, (text, y) in enumerate(sample):
-        w = [vocabulary.setdefault(x, len(vocabulary)) for x in WORD(text.lower())]
+        w = [vocabulary.setdefault(y, len(vocabulary)) for x in WORD(text.lower()) for y in pieces(x)]
         labels.append(y)
         for k in range(0, len(w), BAG):
             words += w[k : k + BAG]

@@ -310,3 +310,50 @@ def test_scores_of_awkward_documents(spark, docs, operator, label):
     out = operator.score(docs, operator.fit(docs.select("doc_id", "text"), labels))
     assert out.count() == docs.count() and out.where("score BETWEEN 0 AND 1").count() == out.count()
     assert operator.score(docs.limit(0), operator.train([])).count() == 0
+
+
+def test_html_attributes_decide_by_name():
+    page = "<article><div style='overflow:hidden'>a</div><p title='the hidden truth'>b</p><p data-q=hidden>c</p><p class='side-by-side'>d</p><div class='alert-free'>e</div><p hidden>f</p><p style='color:red; display : none'>g</p><div class='x comment-list'>h</div><div id=sidebarLeft>i</div><p class='headers'>j</p><p aria-hidden=true>k</p></article>"
+    assert html_text.main_text(page, None) == "a\nb\nc\nd\ne\nj"
+
+
+def test_toxic_runs_begin_anywhere():
+    model = toxicity.train([("you vile scum " + "calm river stone " * 3, 1), ("calm river stone " * 5, 0)] * 60)
+    near = [model.score("calm " * k + "you vile scum calm river stone calm river " + "stone " * 9) for k in range(9)]
+    assert max(near) - min(near) < 0.05 and min(near) > 0.7 > model.score("calm river stone " * 9)
+    assert 0 <= model.score("z" * 2_000_000) <= 1
+
+
+def test_empty_tables_and_foreign_columns(spark):
+    own = {c: F.lit("own") for c in ("_row", "_id", "_key", "id", "keys", "kind", "start", "end", "host", "path", "shared", "_at", "found", "cue", "n_words")}
+    docs = spark.createDataFrame([(1, "mail me: a.b@example.org or 10.0.0.1"), (2, None), (3, "")], "doc_id long, text string").withColumns(own)
+    pages = spark.createDataFrame([(1, "http://h/a", "<p>x</p>"), (2, None, None)], "page_id long, url string, html string").withColumns(own)
+    items = spark.createDataFrame([("i", "mail me a"), ("n", None)], "item_id string, text string").withColumns(own)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    each = [
+        (docs, quality_rules.quality_rules),
+        (pages, html_text.extract),
+        (docs, secrets.secret_spans),
+        (docs, lambda d: token_counts.token_counts(d, path)),
+        (docs, lambda d: pii.pii_spans(d, pii.fit(d))),
+        (docs, near_duplicates.near_duplicates),
+        (docs, lambda d: decontaminate.contamination(d, items)),
+        (docs, lambda d: decontaminate.contamination(d, items.where("false"))),
+        (docs, lambda d: packing.pack_documents(d, public_tokenizers.path("word_bpe_49k.json"))),
+    ]
+    for table, operator in each:
+        assert operator(table).count() == table.count()
+        assert operator(table.where("false")).count() == 0
+
+
+def test_very_long_words_and_other_spaces(spark):
+    texts = ["q" * 3_000_000, "b\xa0" * 200_000, "9" * 500_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, path).collect()}
+    assert got == {k: len(library.encode(t, add_special_tokens=False).ids) for k, t in enumerate(texts)}
+    for operator in (quality_rules.quality_rules, secrets.secret_spans, near_duplicates.near_duplicates, lambda d: pii.pii_spans(d, pii.fit(d))):
+        assert operator(docs).count() == 3
