@@ -5,7 +5,7 @@ from __future__ import annotations
 import pickle
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +36,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def each(column: pa.Array) -> Iterator:
+    """A column's values one by one, so that a batch of texts isn't held twice."""
+    return (x.as_py() for x in column)
+
+
 def held_out(doc_id: str = "doc_id"):
     """crc32 of the id's text mod 3 is 1. A null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))

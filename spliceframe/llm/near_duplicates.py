@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, each
 from .decontaminate import words
 
 #: Words of a k-mer, least share of aligned k-mers, k-mers sampled for a band, bands, and bands a candidate pair agrees on.
@@ -120,7 +120,7 @@ def _sketches(rows: DataFrame) -> DataFrame:
     def run(batches):
         hashes = WordHash()
         for b in batches:
-            keys = [sketch(kmers(t, hashes)) for t in b.column("text").to_pylist()]
+            keys = [sketch(kmers(t, hashes)) for t in each(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("id"), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "id", "keys"])
 
     return rows.mapInArrow(run, kind)
@@ -132,7 +132,7 @@ def _sequences(rows: DataFrame) -> DataFrame:
     def run(batches):
         hashes = WordHash()
         for b in batches:
-            data = [(kmers(t, hashes) >> np.uint64(32)).astype("<u4").tobytes() for t in b.column("text").to_pylist()]
+            data = [(kmers(t, hashes) >> np.uint64(32)).astype("<u4").tobytes() for t in each(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(data, pa.binary())], ["id", "seq"])
 
     return rows.select("id", "text").mapInArrow(run, "id binary, seq binary")
@@ -159,7 +159,7 @@ def _verify(pairs: DataFrame, sequences: DataFrame, least: float) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            ok = [similarity(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), least) >= least for x, y in zip(b.column("seq").to_pylist(), b.column("rep_seq").to_pylist())]
+            ok = [similarity(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), least) >= least for x, y in zip(each(b.column("seq")), each(b.column("rep_seq")))]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("rep"), pa.array(ok, pa.bool_())], ["id", "rep", "ok"])
 
     return both.mapInArrow(run, "id binary, rep binary, ok boolean")
@@ -170,7 +170,7 @@ def _tokens(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for i, seq in zip(*(b.column(c).to_pylist() for c in ("id", "seq"))):
+            for i, seq in zip(each(b.column("id")), each(b.column("seq"))):
                 own = np.frombuffer(seq, "<u4")
                 each = np.unique(own)
                 for at in range(0, len(each), 100_000):

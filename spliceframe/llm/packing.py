@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import each
 from .tokens import encoder
 
 LENGTH, END_ID, GROUP_DOCS = 4096, 2, 4096
@@ -59,7 +60,7 @@ def pieces(docs: DataFrame, tokenizer: str, groups: int, length: int = LENGTH, e
         by, row = encoder(tokenizer, False), 0
         for b in batches:
             index, start, size, crc, total, group = [], [], [], [], [], []
-            for k, t in enumerate(b.column("text").to_pylist()):
+            for k, t in enumerate(each(b.column("text"))):
                 data = by.packed(t or "") + end
                 n = len(data) // 4
                 row += 1

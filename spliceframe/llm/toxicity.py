@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import held_out, label_sample, trained
+from .common import each, held_out, label_sample, trained
 
 THRESHOLD = 0.7
 #: Hashed character n-grams, their lengths and the size of their vectors.
@@ -20,7 +20,7 @@ BUCKETS, GRAMS, SIZE = 1 << 18, (3, 4, 5, 6), 4
 #: begins, so neither length nor place thins a few words out; training takes the runs end to end.
 BAG = 8
 #: Characters of the words that a worker remembers; characters of a word's pieces, which overlap so that no n-gram is lost.
-KEPT, PIECE = 8_000_000, 64
+KEPT, PIECE = 5_000_000, 64
 #: Largest step of a vector.
 RATE = 8.0
 #: Log-likelihood ratio, between documents of either label, that an n-gram needs to be trained; others stay at zero.
@@ -201,7 +201,7 @@ def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> D
     def run(batches):
         m = told.value
         for b in batches:
-            scores = pa.array([m.score(t) for t in b.column("text").to_pylist()], pa.float64())
+            scores = pa.array([m.score(t) for t in each(b.column("text"))], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, scores], [*b.schema.names, "score"])
 
     out = rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
