@@ -172,10 +172,10 @@ def _tokens(rows: DataFrame) -> DataFrame:
         for b in batches:
             for i, seq in zip(each(b.column("id")), each(b.column("seq"))):
                 own = np.frombuffer(seq, "<u4")
-                each = np.unique(own)
-                for at in range(0, len(each), 100_000):
-                    part = pa.array(each[at : at + 100_000].view(np.int32))
-                    yield pa.RecordBatch.from_arrays([pa.array([i] * len(part), pa.binary()), pa.array([len(own)] * len(part), pa.int32()), pa.array([len(each)] * len(part), pa.int32()), part], ["id", "n", "size", "token"])
+                different = np.unique(own)
+                for at in range(0, len(different), 100_000):
+                    part = pa.array(different[at : at + 100_000].view(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array([i] * len(part), pa.binary()), pa.array([len(own)] * len(part), pa.int32()), pa.array([len(different)] * len(part), pa.int32()), part], ["id", "n", "size", "token"])
 
     return rows.select("id", "seq").mapInArrow(run, "id binary, n int, size int, token int")
 
