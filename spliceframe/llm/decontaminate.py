@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import each
+
 WINDOW = 13
 #: Symbols of a shard after which its index is built and searched; memory is about 100 bytes for each.
 SHARD_SYMBOLS = 300_000
-#: Bytes of text after which a shard ends too, so that waiting rows stay few.
+#: Bytes of text after which a shard ends too, so that few rows wait for its findings.
 SHARD_BYTES = 48_000_000
 #: Every so-many-th position of a shard's text is stored.
 SAMPLED = 8
@@ -189,67 +192,80 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     an FM-index of them and searches every window backwards. An item of fewer words than a window is one window.
     Null and empty texts have no words and aren't contaminated; items without words or with a null id match nothing;
     repeated items count once by id; repeated documents stay, each a row; other columns aren't read. Benchmark
-    items are broadcast up to ``items_a_pass``; more are searched in passes whose spans are merged by document row.
+    items are broadcast up to ``items_a_pass``; more are searched in passes whose spans are merged within the row.
     """
+    # not deterministic to Spark, so that a filter on the result doesn't search once more
+    passes = [search.asNondeterministic()("text").alias(f"_pass{k}") for k, search in enumerate(_searches(benchmark, window, items_a_pass))]
+    found = docs.select("doc_id", F.col("text").cast("binary").alias("text")).select("doc_id", *passes)
+    found = found.select("doc_id", *_merged([F.col(f"_pass{k}") for k in range(len(passes))]))
+    return found.withColumns({"n_hit": _hit(F.col("spans")), "contaminated": _contaminated(F.col("n_words"), F.col("spans"))}).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated", "spans"
+    )
+
+
+def _searches(benchmark: DataFrame, window: int = WINDOW, items_a_pass: int = ITEMS_A_PASS) -> list:
+    """A column function of text bytes for each pass over the items: the row's words, and the spans and items found."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     passes = max(1, -(-items.count() // items_a_pass))
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    if passes > 1:
-        rows = rows.withColumn("_row", F.monotonically_increasing_id())
-    found = None
-    for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
-        one = _search(rows, Patterns([(r[0], r[1].encode()) for r in part.collect()], window))
-        found = one if found is None else found.unionAll(one)
-    if passes > 1:
-        found = found.groupBy("_row").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
-        islands = "aggregate(array_sort(spans), array(named_struct('start', -1L, 'end', -1L)), (a, x) -> if(x.start <= element_at(a, -1).end, concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, x.end)))), concat(a, array(x))), a -> slice(a, 2, size(a)))"
-        found = found.withColumns({"spans": F.expr(islands), "items": F.array_sort(F.array_distinct("items"))})
-    n_hit = F.expr("aggregate(spans, 0L, (a, x) -> a + x.end - x.start)")
-    return (
-        found.withColumn("n_hit", n_hit)
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-        .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated", "spans")
-    )
+    parts = [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items for k in range(passes)]
+    return [_search(benchmark.sparkSession, Patterns([(r[0], r[1].encode()) for r in part.collect()], window)) for part in parts]
 
 
-def _search(rows: DataFrame, patterns: Patterns) -> DataFrame:
-    kept = [c for c in rows.columns if c != "text"]
-    kind = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept) + ", n_words long, spans array<struct<start:long,end:long>>, items array<string>"
-    told = rows.sparkSession.sparkContext.broadcast(patterns)
-
-    def run(batches):
-        def flush():
-            got = shard.results()
-            held = pa.Table.from_batches(waiting)
-            arrays = [held.column(c).combine_chunks() for c in kept]
-            arrays += [pa.array([g[0] for g in got], pa.int64()), pa.array([[{"start": s, "end": e} for s, e in g[1]] for g in got], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([g[2] for g in got], pa.list_(pa.string()))]
-            return pa.RecordBatch.from_arrays(arrays, [*kept, "n_words", "spans", "items"])
-
-        shard, waiting = Shard(told.value), []
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            begun = 0
-            for k, t in enumerate(texts):
-                shard.add(t)
+def _search(spark: SparkSession, patterns: Patterns):
+    """Rows stay in Spark's own queue, which spills; text alone goes to Python and findings alone come back."""
+    told = spark.sparkContext.broadcast(patterns)
+    kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
+
+    def findings(shard: Shard) -> pa.Array:
+        return pa.array([{"n_words": n, "spans": [{"start": s, "end": e} for s, e in spans], "items": items} for n, spans, items in shard.results()], kind)
+
+    def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        shard = Shard(told.value)
+        for batch in texts:
+            for text in each(batch):
+                shard.add(text)
                 if shard.size >= SHARD_SYMBOLS or shard.bytes >= SHARD_BYTES:
-                    waiting.append(batch.select(kept).slice(begun, k + 1 - begun))
-                    begun = k + 1
-                    yield flush()
-                    shard, waiting = Shard(told.value), []
-            if begun < len(texts):
-                waiting.append(batch.select(kept).slice(begun))
-        if waiting:
-            yield flush()
+                    yield findings(shard)
+                    shard = Shard(told.value)
+        if shard.rows:
+            yield findings(shard)
+
+    return F.arrow_udf(found, "n_words long, spans array<struct<start:long,end:long>>, items array<string>")
+
+
+def _merged(passes: list[Column]) -> list[Column]:
+    """n_words, spans and items of all passes."""
+    spans, items = passes[0]["spans"], passes[0]["items"]
+    if len(passes) > 1:
+        spans, items = _islands(F.concat(*[p["spans"] for p in passes])), F.array_sort(F.array_distinct(F.concat(*[p["items"] for p in passes])))
+    return [passes[0]["n_words"].alias("n_words"), spans.alias("spans"), items.alias("items")]
+
+
+def _islands(spans: Column) -> Column:
+    """Spans in order, those that touch as one."""
+
+    def add(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
+        return F.when(x["start"] <= last["end"], F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(x)))
+
+    # an entry before all others, so that there is a last one from the beginning
+    before = F.array(F.struct(F.lit(-1).cast("long").alias("start"), F.lit(-1).cast("long").alias("end")))
+    return F.aggregate(F.array_sort(spans), before, add, lambda done: F.slice(done, F.lit(2), F.size(done)))
+
+
+def _hit(spans: Column) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+
 
-    return rows.mapInArrow(run, kind)
+def _contaminated(n_words: Column, spans: Column) -> Column:
+    return (_hit(spans) > 0) & (20 * _hit(spans) >= n_words)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that aren't contaminated, with the columns they came with.
 
-    The verdict travels with the row, so ids may repeat or be null.
+    The verdict is a column function of the row's own text, so ids may repeat or be null.
     """
-    kept = docs.columns
-    numbered = docs.select(F.struct(*docs.columns).alias("doc_id"), "text")
-    return contamination(numbered, benchmark).where(~F.col("contaminated")).select(*[F.col("doc_id").getField(c).alias(c) for c in kept])
+    n_words, spans, _ = _merged([search(F.col("text").cast("binary")) for search in _searches(benchmark)])
+    return docs.where(~_contaminated(n_words, spans))
