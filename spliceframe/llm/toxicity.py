@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import each, held_out, label_sample, trained
 
@@ -195,14 +195,17 @@ def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> D
     null ids stay. Columns of docs by the new names are replaced.
     """
     kept = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
-    told = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*kept)
+    out = docs.select(*kept, _scorer(docs.sparkSession, model)(F.col("text").cast("string")).alias("score"))
+    return out.select(*kept, held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
-    def run(batches):
-        m = told.value
-        for b in batches:
-            scores = pa.array([m.score(t) for t in each(b.column("text"))], pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns, scores], [*b.schema.names, "score"])
 
-    out = rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
-    return out.select(*kept, held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+def _scorer(spark: SparkSession, model: ToxicModel):
+    """Rows stay in Spark's own queue, which spills; text alone goes to Python and scores alone come back."""
+    told = spark.sparkContext.broadcast(model)
+
+    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array([told.value.score(t) for t in each(batch)], pa.float64())
+
+    # not deterministic to Spark, so that a filter on the score doesn't score once more
+    return F.arrow_udf(scores, "double").asNondeterministic()
