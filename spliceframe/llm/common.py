@@ -8,7 +8,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a label sample.
@@ -73,3 +73,26 @@ def trained(sample: DataFrame, train: Callable[[list[tuple[str, int]]], object])
 
     found = sample.repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(found[0]["model"]) if found else train([])
+
+
+def ranked(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """df with _rank, a row's place from 0 within its group by ``order`` (nulls first), and _total, the rows of its group.
+
+    Rows are sorted over ranges of (group, order), so a group of any size is dealt over many tasks; a row's place within
+    its range is counted there, and a range's first place comes from one row for each range and group. The sorted rows
+    are cut in the shared folder first: places hold when executors are lost. Group columns must not be null. Rows that
+    tie in all of ``order`` get places in no fixed order.
+    """
+    by = [F.col(c) for c in (*group, *order)]
+    placed = cut(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_at", 33))
+    runs = placed.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*group)
+    skip = F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.select(*group, "_part", (skip - F.col("_first")).alias("_shift"), F.sum("_n").over(whole).alias("_total"))
+    return placed.join(runs, [*group, "_part"]).withColumn("_rank", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store through Spark's file system."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

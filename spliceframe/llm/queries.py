@@ -79,7 +79,25 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents")).drop("found")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_html_text, op4_secrets, op5_toxicity, op6_packing, op7_token_counts, op8_pii, op9_near_duplicates, op10_decontamination)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import tamper_check
+
+    return tamper_check(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import cluster_digests
+
+    return cluster_digests(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import sharded
+
+    return sharded(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rules, op2_quality_classifier, op3_html_text, op4_secrets, op5_toxicity, op6_packing, op7_token_counts, op8_pii, op9_near_duplicates, op10_decontamination, op11_merkle_manifest, op12_centroid_clusters, op13_sharding)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op1_quality_rules": oracles.quality_rules(), "op4_secrets": oracles.secret_spans(), "op10_decontamination": oracles.contamination()}
+ORACLES: dict[str, str] = {"op1_quality_rules": oracles.quality_rules(), "op4_secrets": oracles.secret_spans(), "op10_decontamination": oracles.contamination(), "op11_merkle_manifest": oracles.tamper_check(), "op12_centroid_clusters": oracles.cluster_digests(), "op13_sharding": oracles.sharded()}
