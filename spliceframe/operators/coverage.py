@@ -5,21 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import running, same
+
+
+def depth_runs(intervals: DataFrame, *key: str) -> DataFrame:
+    """key, start, end, depth of maximal stretches with one depth over 0, from +1 and -1 steps and their running sum.
+
+    Steps are added up by place before anything is sorted, and summed in blocks of places with a carried sum, so a
+    chromosome or a hot place is never one task's. Intervals that end before they start count nothing.
+    """
+    keys = list(key)
+    steps = intervals.where(F.col("end") >= F.col("start")).select(*keys, F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct((F.col("end") + 1).alias("at"), F.lit(-1).alias("d")))).alias("x"))
+    net = steps.groupBy(*keys, F.col("x.at").alias("start")).agg(F.sum("x.d").alias("d")).where("d <> 0")
+    deep = running(net, keys, "start", {"depth": (F.col("d"), "sum")})
+    ended = running(deep, keys, "start", {"_next": (F.col("start"), "min")}, backward=True, inclusive=False)
+    return ended.where("depth > 0").select(*keys, "start", (F.col("_next") - 1).alias("end"), "depth")
+
 
 def union_length(intervals: DataFrame, *key: str) -> DataFrame:
-    """key and bases covered by at least one interval; abutting intervals merge."""
-    w = Window.partitionBy(*key).orderBy("start", "end")
-    ahead = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.greatest(F.lit(0).cast("long"), F.col("end") - F.greatest(F.col("start"), F.coalesce(ahead + 1, F.col("start"))) + 1)
-    return intervals.withColumn("_n", new).groupBy(*key).agg(F.sum("_n").alias("union_length"))
+    """key and bases covered by at least one interval; a key whose intervals cover none has 0."""
+    covered = depth_runs(intervals, *key).groupBy(*key).agg(F.sum(F.col("end") - F.col("start") + 1).alias("_n"))
+    named = covered.withColumnsRenamed({c: f"k_{c}" for c in key})
+    keys = intervals.select(*key).distinct()
+    return keys.join(named, same(keys, named, list(key)), "left").select(*key, F.coalesce("_n", F.lit(0)).alias("union_length"))
 
 
-def depth_runs(intervals: DataFrame, *key: str) -> DataFrame:
-    """key, start, end, depth of maximal stretches with one depth over 0, from +1 and -1 steps and their running sum."""
-    steps = intervals.select(*key, F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct((F.col("end") + 1).alias("at"), F.lit(-1).alias("d")))).alias("x"))
-    net = steps.groupBy(*key, F.col("x.at").alias("start")).agg(F.sum("x.d").alias("d")).where("d <> 0")
-    w = Window.partitionBy(*key).orderBy("start")
-    return net.withColumns({"depth": F.sum("d").over(w), "end": F.lead("start").over(w) - 1}).where("depth > 0").select(*key, "start", "end", "depth")
+def reach(intervals: DataFrame, *key: str) -> DataFrame:
+    """key, start and reach of each different start: the largest end of the intervals that start there or before."""
+    tops = intervals.groupBy(*key, "start").agg(F.max("end").alias("_top"))
+    return running(tops, list(key), "start", {"reach": (F.col("_top"), "max")}).drop("_top")
 
 
 def window_starts(start: Column, end: Column, size: int, step: int) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import reads as R
 from .intervals import overlap_join
+from .scans import joined, running, same
+from .storage import cut
 
 MIN_INTRON, MIN_EXON, MAX_EXON = 50, 30, 20000
 
@@ -66,68 +68,60 @@ def components(nodes: DataFrame, bodies: DataFrame | None = None, min_exon: int
     """nodes with component, the least node of its locus on its chrom and strand.
 
     Two junctions belong together if they share a start or an end, overlap, or leave an exon of allowed length between
-    them that no gene body blocks. Nodes are first cut where no edge can cross (a gap over max_exon after all ends so
-    far), which bounds a group by a stretch of dense junctions; within it a sorted sweep joins neighbours.
+    them that no gene body blocks. Overlapping ones form islands. For a start the ends that leave it an exon are those
+    in one range (up to min_exon before it; back to max_exon before it or the last body), so it is linked to the nearest
+    of them alone, and neighbouring ends are one group where some start has both in its range. Ranges move along with
+    the start, so the furthest start an end reaches decides. Islands and end groups, each at its place, are the labels
+    that ``joined`` unites. Every step folds along the coordinate in blocks, over different places alone.
     """
-    w = Window.partitionBy("chrom", "strand").orderBy("start", "end", "node")
-    ahead = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    cut = nodes.withColumn("_new", (F.coalesce(F.col("start") - ahead - 1 > max_exon, F.lit(True))).cast("int")).withColumn("_part", F.sum("_new").over(w))
-    if bodies is not None:
-        held = overlap_join(cut.groupBy("chrom", "strand", "_part").agg(F.min("start").alias("start"), F.max("end").alias("end")), bodies.select("chrom", "start", "end"))
-        walls = held.groupBy("chrom", "strand", "_part").agg(F.array_sort(F.collect_set(F.struct(F.col("r_start").alias("s"), F.col("r_end").alias("e")))).alias("_walls"))
-        cut = cut.join(walls, ["chrom", "strand", "_part"], "left")
-    else:
-        cut = cut.withColumn("_walls", F.lit(None).cast("array<struct<s:bigint,e:bigint>>"))
-    kind = nodes.schema["node"].dataType.simpleString()
-
-    def join(rows):
-        import pandas as pd
-
-        rows = rows.sort_values(["start", "end", "node"]).reset_index(drop=True)
-        start, end, node = rows["start"].tolist(), rows["end"].tolist(), rows["node"].tolist()
-        first = rows["_walls"].iloc[0]
-        walls = [(x["s"], x["e"]) for x in first] if first is not None else []
-        root = list(range(len(start)))
-
-        def find(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        def union(i, j):
-            a, b = find(i), find(j)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-
-        # overlapping ones follow each other in the sweep; equal ends by a table; exons by looking back over ends
-        reach, top = -1, None
-        by_end: dict[int, int] = {}
-        for i in range(len(start)):
-            if top is not None and start[i] <= reach:
-                union(top, i)
-            if end[i] > reach:
-                reach, top = end[i], i
-            if end[i] in by_end:
-                union(by_end[end[i]], i)
-            by_end.setdefault(end[i], i)
-        from bisect import bisect_left, bisect_right
-
-        ends = sorted(by_end)
-        for i in range(len(start)):
-            lo, hi = bisect_left(ends, start[i] - 1 - max_exon), bisect_right(ends, start[i] - 1 - min_exon)
-            for k in range(hi - 1, lo - 1, -1):
-                a, b = ends[k] + 1, start[i] - 1
-                if not any(s <= b and a <= e for s, e in walls):
-                    union(by_end[ends[k]], i)
-        least: dict[int, object] = {}
-        for i, n in enumerate(node):
-            r = find(i)
-            least[r] = min(least.get(r, n), n)
-        return pd.DataFrame({"node": node, "component": [least[find(i)] for i in range(len(node))]})
-
-    found = cut.select("chrom", "strand", "_part", "node", "start", "end", "_walls").groupBy("chrom", "strand", "_part").applyInPandas(join, f"node {kind}, component {kind}")
-    return nodes.join(found, "node")
+    key = ["chrom", "strand"]
+    none = F.lit(None).cast("long")
+    starts = nodes.groupBy(*key, "start").agg(F.max("end").alias("top"))
+    ends = nodes.select(*key, "end").distinct()
+    own = nodes.select(*key).distinct()
+    walls = None if bodies is None else own.join(bodies.select("chrom", F.col("start").alias("ws"), F.col("end").alias("we")), "chrom")
+
+    def event(df: DataFrame, at: Column, **values: Column) -> DataFrame:
+        return df.select(*key, at.cast("long").alias("at"), *[values.get(c, none).cast("long").alias(c) for c in ("start", "end", "top", "wall")])
+
+    # forward: what reaches a start, the nearest end an exon away, the last body end before it
+    seen = event(starts, F.col("start"), start=F.col("start")).unionByName(event(starts, F.col("start") + 1, top=F.col("top"))).unionByName(event(ends, F.col("end") + 1 + min_exon, end=F.col("end")))
+    if walls is not None:
+        seen = seen.unionByName(event(walls, F.col("ws") + 1, wall=F.col("we")))
+    at_start = running(seen, key, "at", {"_reach": (F.col("top"), "max"), "_near": (F.col("end"), "max"), "_wall": (F.col("wall"), "max")}).where("start IS NOT NULL")
+    lowest = F.greatest(F.col("start") - 1 - max_exon, F.coalesce(F.col("_wall"), F.col("start") - 1 - max_exon))
+    fresh = F.when(F.coalesce(F.col("_reach") < F.col("start"), F.lit(True)), F.col("start"))
+    linked = at_start.select(*key, "start", F.when(F.col("_near") >= lowest, F.col("_near")).alias("near"), fresh.alias("_fresh"))
+    islands = cut(running(linked, key, "start", {"island": (F.col("_fresh"), "max")}).drop("_fresh"))
+
+    # backward: the next end, and the first body that ends beyond an end
+    seen = event(ends, F.col("end"), end=F.col("end"))
+    if walls is not None:
+        seen = seen.unionByName(event(walls, F.col("we"), wall=F.col("ws")))
+    at_end = cut(running(seen, key, "at", {"_next": (F.col("end"), "min"), "_wall": (F.col("wall"), "min")}, backward=True, inclusive=False).where("end IS NOT NULL"))
+    furthest = F.least(F.col("end") + 1 + max_exon, F.col("_wall"))
+    asked = at_end.select(*key, furthest.alias("at"), "end", F.col("_next").alias("top"), none.alias("start"))
+    answered = running(asked.unionByName(starts.select(*key, F.col("start").alias("at"), none.alias("end"), none.alias("top"), "start")), key, "at", {"_start": (F.col("start"), "max")}).where("end IS NOT NULL")
+    last = F.when(~F.coalesce(F.col("_start") >= F.col("top") + 1 + min_exon, F.lit(False)), F.col("end"))
+    groups = cut(running(answered.select(*key, "end", last.alias("_last")), key, "end", {"group": (F.col("_last"), "min")}, backward=True).drop("_last"))
+
+    def named(df: DataFrame, by: str, at: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"k_{c}") for c in key], F.col(by).alias(f"k_{at}"), *[c for c in df.columns if c in ("island", "group")])
+
+    def meet(df: DataFrame, other: DataFrame, at: str) -> DataFrame:
+        return df.join(other, same(df, other, [*key, at])).drop(*[f"k_{c}" for c in (*key, at)])
+
+    label = {"island": F.col("island") * 2, "group": F.col("group") * 2 + 1}
+    placed = meet(meet(nodes.select(*key, "start", "end").distinct(), named(islands, "start", "start"), "start"), named(groups, "end", "end"), "end")
+    over = meet(islands.where("near IS NOT NULL"), named(groups, "end", "near"), "near")
+    edges = placed.select(*key, label["island"].alias("u"), label["group"].alias("v")).unionByName(over.select(*key, label["group"].alias("u"), label["island"].alias("v"))).distinct()
+    united = joined(cut(edges), key)
+    at = nodes.select("node", *key, "start")
+    rooted = meet(at, named(islands, "start", "start"), "start").withColumn("label", F.col("island") * 2)
+    roots = united.select(*[F.col(c).alias(f"k_{c}") for c in (*key, "label")], "component")
+    rooted = rooted.join(roots, same(rooted, roots, [*key, "label"])).select("node", *key, F.col("component").alias("_root"))
+    least = rooted.groupBy(*key, "_root").agg(F.min("node").alias("component")).withColumnsRenamed({c: f"k_{c}" for c in (*key, "_root")})
+    return nodes.join(rooted.join(least, same(rooted, least, [*key, "_root"])).select("node", "component"), "node")
 
 
 def greedy_chain(members: Column) -> Column:

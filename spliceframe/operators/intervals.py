@@ -30,11 +30,6 @@ def clip(df: DataFrame, lengths: DataFrame) -> DataFrame:
     return known.select(*[one(c) if c in ("start", "end") else c for c in df.columns])
 
 
-def _identity(df: DataFrame) -> Column:
-    """128 bits that stand for a row's values; equal rows share them."""
-    return F.struct(F.xxhash64(*df.columns).alias("a"), F.xxhash64(F.lit(1), *df.columns).alias("b"))
-
-
 def _binned(df: DataFrame, start: Column, end: Column, width: int) -> DataFrame:
     of = lambda c: F.floor(c / F.lit(width)).cast("long")
     return df.withColumns({"_s": start, "_e": end}).withColumn("_bin", F.explode(F.sequence(of(F.col("_s")), of(F.col("_e")))))
@@ -52,10 +47,11 @@ def overlap_join(left: DataFrame, right: DataFrame, width: int = BIN, pad: int =
     if how == "inner":
         first = F.col("_bin") == F.floor(F.greatest("_s", "_rs") / F.lit(width))
         return a.join(b, on & first).drop("_s", "_e", "_bin", "_rs", "_re", "_rbin")
-    # the left row with the bins it hits, then each left row once
-    keyed = left.withColumn("_row", _identity(left))
-    hit = _binned(keyed, F.col("start") - pad, F.col("end") + pad, width).join(b, on, "left_semi").select("_row").distinct()
-    return keyed.join(hit, "_row", f"left_{how}").drop("_row")
+    # whether a row has a partner hangs on its place alone, so places are met once and rows follow theirs
+    place = F.struct("chrom", "start", "end")
+    places = left.select("chrom", "start", "end", place.alias("_row")).distinct()
+    hit = _binned(places, F.col("start") - pad, F.col("end") + pad, width).join(b, on, "left_semi").select("_row").distinct()
+    return left.withColumn("_row", place).join(hit, "_row", f"left_{how}").drop("_row")
 
 
 def _toward(loci: DataFrame, bodies: DataFrame, key: list[str], side: str) -> DataFrame:
@@ -81,33 +77,44 @@ def _toward(loci: DataFrame, bodies: DataFrame, key: list[str], side: str) -> Da
     return near.where("_kind = 1").join(carried, [*key, "_block"], "left").select("_row", F.coalesce("_near", "_carry").alias("_body"))
 
 
-def nearest(loci: DataFrame, bodies: DataFrame, key: tuple[str, ...] = ("chrom",), width: int = BIN) -> DataFrame:
-    """loci with nearest_id and distance: the body on the same key that overlaps (0) or has the fewest bases between; ties to the least gene_id.
+def _nearest(places: DataFrame, bodies: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """_row and n (distance, gene_id) of the nearest body of each place; a place may stand on several keys.
 
-    loci and bodies have start and end; key columns are compared for equality, chrom among them. Repeated loci keep
-    their rows; loci on keys without bodies get nulls.
+    places: the keys and _row, a struct with start and end among its fields. bodies: the keys, start, end, gene_id.
     """
-    keys = list(key)
-    rows = loci.withColumn("_row", _identity(loci))
-    one = rows.dropDuplicates(["_row"])
-    slim = bodies.select(*keys, "start", "end", "gene_id")
-    hit = overlap_join(one.select("_row", *keys, "start", "end"), slim, width)
+    loci = places.select("_row", *keys, F.col("_row.start").alias("start"), F.col("_row.end").alias("end"))
+    hit = overlap_join(loci, bodies, width)
     for k in keys[1:]:
         hit = hit.where(F.col(k) == F.col(f"r_{k}"))
-    zero = hit.select("_row", F.struct(F.lit(0).cast("long").alias("distance"), F.col("r_gene_id").alias("gene_id")).alias("n"))
-    sides = [zero]
+    found = hit.select("_row", F.struct(F.lit(0).cast("long").alias("distance"), F.col("r_gene_id").alias("gene_id")).alias("n"))
     for side in ("left", "right"):
-        t = _toward(one, slim, keys, side).where("_body IS NOT NULL").join(one.select("_row", "start", "end"), "_row")
-        d = gap(F.col("start"), F.col("end"), F.col("_body.start"), F.col("_body.end"))
-        sides.append(t.select("_row", F.struct(d.alias("distance"), F.col("_body.gene_id").alias("gene_id")).alias("n")))
-    best = sides[0].unionAll(sides[1]).unionAll(sides[2]).groupBy("_row").agg(F.min("n").alias("n"))
-    return rows.join(best, "_row", "left").select(*loci.columns, F.col("n.gene_id").alias("nearest_id"), F.col("n.distance").alias("distance"))
-
-
-def nearest_stranded(loci: DataFrame, bodies: DataFrame, wild_bodies: bool = False) -> DataFrame:
-    """As ``nearest``, on the locus's own strand; a locus without one (".", null) takes either, and with wild_bodies so does a body."""
-    known = F.coalesce(F.col("strand"), F.lit(".")) != "."
-    sided = bodies
-    if wild_bodies:
-        sided = bodies.withColumn("strand", F.explode(F.when(known, F.array("strand")).otherwise(F.array(F.lit("+"), F.lit("-")))))
-    return nearest(loci.where(known), sided, ("chrom", "strand")).unionByName(nearest(loci.where(~known), bodies))
+        d = gap(F.col("_row.start"), F.col("_row.end"), F.col("_body.start"), F.col("_body.end"))
+        found = found.unionAll(_toward(loci, bodies, keys, side).where("_body IS NOT NULL").select("_row", F.struct(d.alias("distance"), F.col("_body.gene_id").alias("gene_id")).alias("n")))
+    return found.groupBy("_row").agg(F.min("n").alias("n"))
+
+
+def nearest(loci: DataFrame, bodies: DataFrame, key: tuple[str, ...] = ("chrom",), width: int = BIN) -> DataFrame:
+    """loci with nearest_id and distance: the body on the same key that overlaps (0) or has the fewest bases between; ties to the least gene_id.
+
+    loci and bodies have start and end; key columns are compared for equality, chrom first. Loci of one place are looked
+    up once and keep their rows; loci on keys without bodies, or with a null there or in their place, get nulls.
+    """
+    keys = list(key)
+    place = F.struct(*keys, "start", "end")
+    best = _nearest(loci.select(*keys, place.alias("_row")).distinct(), bodies.select(*keys, "start", "end", "gene_id"), keys, width)
+    return loci.withColumn("_row", place).join(best, "_row", "left").select(*loci.columns, F.col("n.gene_id").alias("nearest_id"), F.col("n.distance").alias("distance"))
+
+
+def nearest_stranded(loci: DataFrame, bodies: DataFrame, wild_bodies: bool = False, width: int = BIN) -> DataFrame:
+    """As ``nearest``, on the locus's own strand; a locus without one (".", null) takes any, and with wild_bodies so does a body.
+
+    A place is looked up on each strand it may take, all in one run.
+    """
+    strand = F.coalesce(F.col("strand"), F.lit("."))
+    both = F.array(F.lit("+"), F.lit("-"))
+    place = F.struct("chrom", "start", "end", "strand")
+    places = loci.select("chrom", strand.alias("strand"), place.alias("_row")).distinct().select("chrom", "_row", F.explode(F.when(strand == ".", F.concat(both, F.array(F.lit(".")))).otherwise(F.array(strand))).alias("_strand"))
+    taken = F.explode(F.when(strand == ".", both).otherwise(F.array(strand))) if wild_bodies else strand
+    sided = bodies.select("chrom", taken.alias("_strand"), "start", "end", "gene_id")
+    best = _nearest(places, sided, ["chrom", "_strand"], width)
+    return loci.withColumn("_row", place).join(best, "_row", "left").select(*loci.columns, F.col("n.gene_id").alias("nearest_id"), F.col("n.distance").alias("distance"))
