@@ -172,7 +172,7 @@ def number_residuals(records: DataFrame) -> DataFrame:
 def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """df with a row number by a total order, from range partitions; only a count for each range is gathered."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
-    ranged = ranged.withColumn("_in", F.col("_at") - F.shiftleft(F.col("_part").cast("long"), 33) + 1).persist()
+    ranged = cut(ranged.withColumn("_in", F.col("_at") - F.shiftleft(F.col("_part").cast("long"), 33) + 1))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     return ranged.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_in")).drop("_part", "_at", "_in", "_before")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from ..operators import coverage, models, quantify
+from ..operators import coverage, expression, models, quantify
 from ..operators.intervals import overlap_join
 from .bridge import ctes, view
 from .catalog import query
@@ -174,6 +174,12 @@ def size_factors(spark: SparkSession, d: str) -> DataFrame:
     return quantify.size_factors(m)
 
 
+@query("differential_expression")
+def differential_expression(spark: SparkSession, d: str) -> DataFrame:
+    obs = view(spark, d, "obs")
+    return expression.differential_expression(obs.select(F.col("locus_id").alias("gene_id"), "sample_id", F.col("reads").alias("n")), obs.select("sample_id", "grp").distinct())
+
+
 @query("junction_support", ctes("aln") + """ SELECT chrom, j_start, j_end, count(DISTINCT CASE WHEN nh = 1 THEN qname WHEN nh IS NULL THEN concat(qname, ':', pos, ':', cigar) END) AS support FROM aln GROUP BY chrom, j_start, j_end""")
 def junction_support(spark: SparkSession, d: str) -> DataFrame:
     key = F.when(F.col("nh") == 1, F.col("qname")).when(F.col("nh").isNull(), F.concat_ws(":", "qname", F.col("pos").cast("string"), "cigar"))
