@@ -7,10 +7,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import each
+from .common import cut, each
 
 WINDOW = 13
 #: Symbols of a shard after which its index is built and searched; memory is about 100 bytes for each.
@@ -19,8 +20,8 @@ SHARD_SYMBOLS = 300_000
 SHARD_BYTES = 48_000_000
 #: Every so-many-th position of a shard's text is stored.
 SAMPLED = 8
-#: Items searched in one pass; more take several passes over the documents.
-ITEMS_A_PASS = 50_000
+#: Windows that are searched in one pass, and so held by the driver and each worker at once; more take several passes over the documents.
+WINDOWS_A_PASS = 2_000_000
 END, BREAK, FIRST = 0, 1, 2
 #: A-Z to a-z; what isn't a digit, a letter or beyond ASCII to a blank.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -185,35 +186,74 @@ class Shard:
         return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, items_a_pass: int = ITEMS_A_PASS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, windows_a_pass: int = WINDOWS_A_PASS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans (word places, end exclusive) of every document.
 
     Each task joins its documents into shards, keeps the runs of words that items have (a window lies in one), builds
     an FM-index of them and searches every window backwards. An item of fewer words than a window is one window.
     Null and empty texts have no words and aren't contaminated; items without words or with a null id match nothing;
-    repeated items count once by id; repeated documents stay, each a row; other columns aren't read. Benchmark
-    items are broadcast up to ``items_a_pass``; more are searched in passes whose spans are merged within the row.
+    repeated items count once by id; repeated documents stay, each a row; other columns aren't read. Items of about
+    ``windows_a_pass`` windows are broadcast; more are searched in passes one after the other, see ``_earlier``.
     """
+    items, passes = _items(benchmark, window, windows_a_pass)
+    text = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    if passes > 1:
+        # the key first, so that a row's text goes to Python once
+        text = text.withColumn("_text", _text_key())
+        earlier = _earlier(text, items, passes, window)
     # not deterministic to Spark, so that a filter on the result doesn't search once more
-    passes = [search.asNondeterministic()("text").alias(f"_pass{k}") for k, search in enumerate(_searches(benchmark, window, items_a_pass))]
-    found = docs.select("doc_id", F.col("text").cast("binary").alias("text")).select("doc_id", *passes)
-    found = found.select("doc_id", *_merged([F.col(f"_pass{k}") for k in range(len(passes))]))
+    search = _search(docs.sparkSession, _patterns(items, passes, passes - 1, window)).asNondeterministic()
+    found = text.select(*[c for c in text.columns if c != "text"], search("text").alias("_pass"))
+    if passes > 1:
+        found = found.join(earlier, "_text", "left")
+    found = found.select("doc_id", *_merged(F.col("_pass"), passes > 1))
     return found.withColumns({"n_hit": _hit(F.col("spans")), "contaminated": _contaminated(F.col("n_words"), F.col("spans"))}).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated", "spans"
     )
 
 
-def _searches(benchmark: DataFrame, window: int = WINDOW, items_a_pass: int = ITEMS_A_PASS) -> list:
-    """A column function of text bytes for each pass over the items: the row's words, and the spans and items found."""
+def _items(benchmark: DataFrame, window: int, windows_a_pass: int) -> tuple[DataFrame, int]:
+    """The items that have an id and a text, and how many passes their windows take, counted by Spark."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    passes = max(1, -(-items.count() // items_a_pass))
-    parts = [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items for k in range(passes)]
-    return [_search(benchmark.sparkSession, Patterns([(r[0], r[1].encode()) for r in part.collect()], window)) for part in parts]
+    length = F.size(F.regexp_extract_all("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0)))
+    windows = items.agg(F.sum(F.greatest(length - (window - 1), F.lit(1))).alias("n")).first()["n"] or 0
+    return items, max(1, -(-windows // windows_a_pass))
 
 
-def _search(spark: SparkSession, patterns: Patterns):
-    """Rows stay in Spark's own queue, which spills; text alone goes to Python and findings alone come back."""
-    told = spark.sparkContext.broadcast(patterns)
+def _patterns(items: DataFrame, passes: int, k: int, window: int) -> Patterns:
+    """The windows of one pass's items, a share of all by hash."""
+    part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
+    return Patterns([(r[0], r[1].encode()) for r in part.toLocalIterator()], window)
+
+
+def _text_key() -> Column:
+    return F.unhex(F.sha2("text", 256))
+
+
+def _earlier(text: DataFrame, items: DataFrame, passes: int, window: int) -> DataFrame:
+    """_text (a text's digest), _spans and _items of the texts in which all passes but the last find something.
+
+    A pass is over, its findings cut in the shared folder, before the next one's items are collected, so windows_a_pass
+    bounds what driver and workers hold. What is found hangs on the text alone; equal texts are one row.
+    """
+    cuts = []
+    for k in range(passes - 1):
+        search = _search(text.sparkSession, told := text.sparkSession.sparkContext.broadcast(_patterns(items, passes, k, window)))
+        found = text.select("_text", search.asNondeterministic()("text").alias("f")).where(F.size("f.spans") > 0)
+        cuts.append(cut(found.select("_text", "f.spans", "f.items").dropDuplicates(["_text"])))
+        told.destroy()
+    every = cuts[0]
+    for one in cuts[1:]:
+        every = every.unionAll(one)
+    return every.groupBy("_text").agg(F.flatten(F.collect_list("spans")).alias("_spans"), F.flatten(F.collect_list("items")).alias("_items"))
+
+
+def _search(spark: SparkSession, patterns: Patterns | Broadcast):
+    """A column function of text bytes: the row's words, and the spans and items found.
+
+    Rows stay in Spark's own queue, which spills; text alone goes to Python and findings alone come back.
+    """
+    told = patterns if isinstance(patterns, Broadcast) else spark.sparkContext.broadcast(patterns)
     kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
 
     def findings(shard: Shard) -> pa.Array:
@@ -233,12 +273,13 @@ def _search(spark: SparkSession, patterns: Patterns):
     return F.arrow_udf(found, "n_words long, spans array<struct<start:long,end:long>>, items array<string>")
 
 
-def _merged(passes: list[Column]) -> list[Column]:
-    """n_words, spans and items of all passes."""
-    spans, items = passes[0]["spans"], passes[0]["items"]
-    if len(passes) > 1:
-        spans, items = _islands(F.concat(*[p["spans"] for p in passes])), F.array_sort(F.array_distinct(F.concat(*[p["items"] for p in passes])))
-    return [passes[0]["n_words"].alias("n_words"), spans.alias("spans"), items.alias("items")]
+def _merged(last: Column, more: bool) -> list[Column]:
+    """n_words, spans and items of the last pass, with _spans and _items of the earlier ones if there are more."""
+    spans, items = last["spans"], last["items"]
+    if more:
+        none = lambda c, like: F.coalesce(F.col(c), F.filter(like, lambda _: F.lit(False)))
+        spans, items = _islands(F.concat(spans, none("_spans", spans))), F.array_sort(F.array_distinct(F.concat(items, none("_items", items))))
+    return [last["n_words"].alias("n_words"), spans.alias("spans"), items.alias("items")]
 
 
 def _islands(spans: Column) -> Column:
@@ -262,10 +303,18 @@ def _contaminated(n_words: Column, spans: Column) -> Column:
     return (_hit(spans) > 0) & (20 * _hit(spans) >= n_words)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, windows_a_pass: int = WINDOWS_A_PASS) -> DataFrame:
     """The documents that aren't contaminated, with the columns they came with.
 
-    The verdict is a column function of the row's own text, so ids may repeat or be null.
+    The verdict hangs on the row's own text, so ids may repeat or be null.
     """
-    n_words, spans, _ = _merged([search(F.col("text").cast("binary")) for search in _searches(benchmark)])
+    items, passes = _items(benchmark, WINDOW, windows_a_pass)
+    if passes > 1:
+        keyed = docs.select("text").select(F.col("text").cast("binary").alias("text")).withColumn("_text", _text_key())
+        earlier = _earlier(keyed, items, passes, WINDOW).select(F.col("_text").alias("_decontaminated"), "_spans", "_items")
+        rows = docs.select(F.struct(*docs.columns).alias("_back"), F.col("text").cast("binary").alias("text"))
+        rows = rows.join(earlier, _text_key() == F.col("_decontaminated"), "left")
+        n_words, spans, _ = _merged(_search(docs.sparkSession, _patterns(items, passes, passes - 1, WINDOW))(F.col("text")), True)
+        return rows.where(~_contaminated(n_words, spans)).select("_back.*")
+    n_words, spans, _ = _merged(_search(docs.sparkSession, _patterns(items, 1, 0, WINDOW))(F.col("text").cast("binary")), False)
     return docs.where(~_contaminated(n_words, spans))

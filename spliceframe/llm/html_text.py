@@ -26,36 +26,52 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 ARTICLE = {"article", "main"}
 #: Elements that end without an end tag.
 OPTIONAL = set("p li dt dd td th tr".split())
-#: Pages without an article up to which their shared lines are broadcast.
+#: Pages that markup leaves open up to which their shared lines are broadcast.
 BROADCAST_PAGES = 50_000
+#: Pages of a sorted range, which a task holds the line hashes of.
+RANGE_PAGES = 20_000
 #: Words of a class, id or role that mark what isn't the article, and words that may stand beside them in one name. Fixed values.
 MARKED = (
     "ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored sponsors promo promos promotion sidebar side nav navbar navigation navigational menu menus breadcrumb breadcrumbs header masthead footer cookie cookies consent notice notices alert alerts popup modal newsletter subscribe subscription share sharing social comment comments disqus replies reply respond related widget widgets search login signup"
 ).split()
+#: Words that beside a marked header word make it the article's own, and elements that hold text, whose ids are anchors. Fixed values.
+OWN = "article articles post posts story entry content section title".split()
+HEADERS = "header masthead".split()
+TEXT_ELEMENTS = "p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption table td th dt dd".split()
 BESIDE = "site page main top bottom left right primary secondary global sub mobile desktop area list item items bar box block container wrapper wrap inner outer content section slot unit group panel col column row links link buttons button btn form text title thread post posts article stories story footer media icons".split()
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?|[^<]+|<", re.S)
+TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NO_DISPLAY = re.compile(r"(?i)(?:^|;)\s*display\s*:\s*none\b")
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 SPACE = re.compile(r"\s+")
-_dropped, _aside, _blocks, _marked, _beside = set(DROPPED), set(ASIDE), set(BLOCKS), set(MARKED), set(BESIDE)
+_dropped, _aside, _blocks, _marked, _beside = set(DROPPED), set(ASIDE), set(BLOCKS) | set(ASIDE), set(MARKED), set(BESIDE)
+_own, _headers, _text = set(OWN), set(HEADERS), set(TEXT_ELEMENTS)
 
 
 @lru_cache(4096)
-def marked_name(name: str) -> bool:
-    """Whether a class, id or role says other than main text: all its parts are marked words, words that go beside them or numbers."""
+def marked_name(name: str, inside: bool = False) -> bool:
+    """Whether a class, id or role says other than main text: all its parts are marked words, words that go beside them or numbers.
+
+    A header's word doesn't count within the article, nor beside a word for the article itself.
+    """
     parts = [p.lower() for p in PARTS.findall(name)]
-    return any(p in _marked for p in parts) and all(p in _marked or p in _beside or p.isdigit() for p in parts)
+    counts = _marked - _headers if inside or not _own.isdisjoint(parts) else _marked
+    return any(p in counts for p in parts) and all(p in _marked or p in _beside or p in _own or p.isdigit() for p in parts)
 
 
 @lru_cache(4096)
-def ruled_out(attributes: str) -> bool:
-    """Whether a tag's attributes hide it or mark it: the attribute hidden, aria-hidden, display:none in its style, or a marked name."""
+def ruled_out(attributes: str, element: str = "div", inside: bool = False) -> bool:
+    """Whether a tag's attributes hide it or mark it: the attribute hidden, aria-hidden, display:none in its style, or a marked name.
+
+    Names don't rule out an article element, ids no element that holds text.
+    """
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and NO_DISPLAY.search(value)):
             return True
-        if name in ("class", "id", "role") and any(map(marked_name, value.split())):
+        if element in ARTICLE or (name == "id" and element in _text):
+            continue
+        if name in ("class", "id", "role") and any(marked_name(v, inside) for v in value.split()):
             return True
     return False
 
@@ -66,7 +82,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
     held: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # open elements that mark other text or hold the article, and those of the same name in them
     open_: dict[str, int] = {}
-    off = inside = 0
+    off = inside = hushed = 0  # open blocks that mark other text, articles, and inline elements whose text isn't shown
     at, size = 0, len(page)
 
     def close_block() -> None:
@@ -77,10 +93,14 @@ def blocks(page: str) -> list[tuple[str, int]]:
                 out.append((text, 0 if off else 2 if inside else 1))
 
     def pop(k: int) -> None:
-        nonlocal off, inside
-        close_block()
+        nonlocal off, inside, hushed
+        if any(name in _blocks for name, _, _ in stack[k:]):
+            close_block()
         for name, marks, holds in stack[k:]:
-            off -= marks
+            if name in _blocks:
+                off -= marks
+            else:
+                hushed -= marks
             inside -= holds
             open_[name] -= 1
         del stack[k:]
@@ -91,6 +111,8 @@ def blocks(page: str) -> list[tuple[str, int]]:
         name = m[2]
         if name is None:
             s = m[0]
+            if hushed:
+                continue
             if s[0] != "<" or s == "<":
                 held.append(s)
             elif s.startswith("<![CDATA["):
@@ -117,11 +139,13 @@ def blocks(page: str) -> list[tuple[str, int]]:
             continue
         marks = name in _aside and not (name == "header" and inside)
         if attributes and not marks:
-            marks = ruled_out(attributes) if len(attributes) < 1000 else ruled_out.__wrapped__(attributes)
+            marks = (ruled_out if len(attributes) < 1000 else ruled_out.__wrapped__)(attributes, name, inside > 0)
         holds = name in ARTICLE and not marks
         if marks or holds or open_.get(name):
-            close_block()
-            off += marks
+            if name in _blocks:
+                off += marks
+            else:
+                hushed += marks
             inside += holds
             open_[name] = open_.get(name, 0) + 1
             stack.append((name, marks, holds))
@@ -129,6 +153,14 @@ def blocks(page: str) -> list[tuple[str, int]]:
     return out
 
 
+def settled(found: list[tuple[str, int]]) -> bool:
+    """Whether markup tells the main text: an article element holds as much text as lies outside it, or more."""
+    size = [0, 0, 0]
+    for text, rank in found:
+        size[rank] += len(text)
+    return size[2] > 0 and size[2] >= size[1]
+
+
 def common_lines(a: list[int], b: list[int]) -> list[int]:
     """Places in a of a longest common subsequence of a and b, by bit-parallel rows and halving (Hirschberg), in memory linear in the lines."""
     here = set(b)
@@ -173,13 +205,13 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
 
 
 def _lines(pages: DataFrame) -> DataFrame:
-    """_key (of the row's page_id, url and html), hashes of the page's lines that markup doesn't rule out, in order, and whether it has no article."""
+    """_key (of the row's page_id, url and html), hashes of the page's lines that markup doesn't rule out, in order, and whether markup leaves its main text open."""
 
     def run(batches):
         for b in batches:
             found = [blocks(h or "") for h in b.column("html").to_pylist()]
             lines = [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for t, rank in x if rank] for x in found]
-            bare = [all(rank < 2 for _, rank in x) for x in found]
+            bare = [not settled(x) for x in found]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("_key", "host", "path")], pa.array(lines, pa.list_(pa.int64())), pa.array(bare, pa.bool_())], ["_key", "host", "path", "lines", "bare"])
 
     return pages.mapInArrow(run, "_key binary, host string, path string, lines array<long>, bare boolean")
@@ -211,10 +243,12 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     Pages are sorted by host and path over ranges, so a large host takes many tasks. A page's neighbours are the ones
     before and after it in that order with another path and other lines: copies of a page and variants of one path
     would share its text. The nearer has the longer common start of path, of equal ones the one before. Null urls are
-    each a path of their own. At most six entries of each range are sent to all tasks. A task holds its range's hashes.
+    each a path of their own. At most six entries of each range are sent to all tasks. A task holds its range's hashes, of about RANGE_PAGES pages.
     """
     # cut first, as finding the ranges reads everything once more
-    ordered = cut(cut(_lines(pages)).repartitionByRange("host", "path", "_key").sortWithinPartitions("host", "path", "_key"))
+    lines = cut(_lines(pages))
+    parts = max(lines.rdd.getNumPartitions(), -(-lines.count() // RANGE_PAGES))
+    ordered = cut(lines.repartitionByRange(parts, "host", "path", "_key").sortWithinPartitions("host", "path", "_key"))
 
     def read(batches):
         for b in batches:
@@ -269,9 +303,9 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 
 
 def main_text(page: str | None, shared: list[int] | None) -> str:
-    """The blocks that stay: those in the article; without one, those that neither markup nor the neighbour rules out."""
+    """The blocks that stay: those in the article where it is the larger part; else those that neither markup nor the neighbour rules out."""
     found = blocks(page or "")
-    if any(rank == 2 for _, rank in found):
+    if settled(found):
         return "\n".join(t for t, rank in found if rank == 2)
     gone = set(shared or ())
     return "\n".join(t for t, rank in found if rank and xxhash.xxh3_64_intdigest(t) - (1 << 63) not in gone)
@@ -280,10 +314,10 @@ def main_text(page: str | None, shared: list[int] | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
-    Lines that a page shares with its nearest different page by URL are deleted, except within an article element: boilerplate
-    is told there by markup, and articles of one host do share passages and whole texts. Null and empty pages have no
+    Lines that a page shares with its nearest different page by URL are deleted, except where an article element holds the
+    larger part of the text: boilerplate is told there by markup, and articles of one host do share passages and whole texts. Null and empty pages have no
     text; null urls have no neighbour but each other; repeated rows stay. Other columns aren't read. Only line hashes
-    are sorted; what is shared comes back by a join on the row's digest, of pages without an article alone.
+    are sorted; what is shared comes back by a join on the row's digest, of pages that markup leaves open alone.
     """
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     where = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?([^/?#]*)([^?#]*)", 1)

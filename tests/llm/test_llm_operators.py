@@ -183,10 +183,14 @@ def test_decontamination_by_scan(spark):
                     got.add(item)
         want.append((i, len(w), len(hit), len(got), hashlib.sha256(",".join(sorted(got)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
     d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    for size in (50_000, 4):  # one pass, several passes
-        out = decontaminate.contamination(d, b, items_a_pass=size).drop("spans").collect()
+    clashing = d.withColumns({"_text": F.lit("own"), "_spans": F.lit(1), "_back": F.lit(2)})
+    for size in (50_000, 60):  # one pass, several passes
+        out = decontaminate.contamination(clashing, b, windows_a_pass=size).drop("spans").collect()
         assert Counter(tuple(r) for r in out) == Counter(want)
-    assert decontaminate.drop_contaminated(d, b).count() == sum(not x[-1] for x in want)
+        kept = decontaminate.drop_contaminated(clashing, b, size)
+        assert kept.columns == clashing.columns and kept.count() == kept.where("_text = 'own'").count() == sum(not x[-1] for x in want)
+        assert decontaminate.contamination(d.where("false"), b, windows_a_pass=size).count() == 0
+    assert decontaminate.contamination(d, b.where("false")).where("n_hit > 0").count() == 0
 
 
 def test_near_duplicates(spark):
@@ -283,6 +287,75 @@ def test_html_copies_and_variants_keep_their_text(spark, parts):
     assert got == {1: "one", 2: "two", 3: "two", 4: "two\nmore", **{10 + i: "mirrored" for i in range(30)}, 50: "last", 60: "x", 61: "x", 62: "y", 70: same, 71: same}
 
 
+@pytest.mark.parametrize("parts", [2, 30])
+def test_html_differencing_against_all_pairs_of_a_host(spark, parts):
+    """The nearest page by path among all of the host, a longest common subsequence by a table, and the lines deleted."""
+    r = random.Random(12)
+    frame, rows = [f"frame {k}" for k in range(12)], []
+    for k in range(120):
+        held = [x for x in frame if r.random() < 0.6]
+        own = [f"own {k} {j}" for j in range(r.randint(0, 3))]
+        rows.append((k, f"http://host{k % 3}/{r.choice('abc')}/{r.choice('abcd')}{k:03d}", held[:6] + own + held[6:]))
+    html = lambda lines: "".join(f"<div>{x}</div>" for x in lines)
+
+    def common(a, b):
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        out, i, j = set(), len(a), len(b)
+        while i and j:
+            if a[i - 1] == b[j - 1]:
+                out.add(a[i - 1])
+                i, j = i - 1, j - 1
+            elif table[i - 1][j] >= table[i][j - 1]:
+                i -= 1
+            else:
+                j -= 1
+        return out
+
+    want = {}
+    for k, url, lines in rows:
+        host, path = url[7:].split("/", 1)
+        others = [(p, x) for _, u, x in rows for h, p in [u[7:].split("/", 1)] if h == host and p != path and x != lines]
+        before = max((o for o in others if o[0] < path), default=None)
+        after = min((o for o in others if o[0] > path), default=None)
+        start = lambda o: len([0 for a, b in zip(o[0], path) if a == b]) if o[0].startswith(path) else next(i for i, (a, b) in enumerate(zip(o[0] + "~", path + "!")) if a != b)
+        near = [o for o in (before, after) if o]
+        best = max(near, key=start) if near else (None, [])
+        gone = common(lines, best[1])
+        want[k] = "\n".join(x for x in lines if x not in gone)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame([(k, u, html(x)) for k, u, x in rows], "page_id int, url string, html string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == want and sum("frame" not in x for x in want.values()) < 100
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article><p>a<span hidden>h</span>b</p></article>", "ab"),
+        ("<p>a<b class=ad>x<p>y</b>z", "a\nz"),
+        ("<article><p>a<!-- c --!>b</p><p>c</p></article>", "ab\nc"),
+        ("<!-->a<!--->b<!-- open", "ab"),
+        ("<article class='side'><p>x</p></article><p id=search>y</p>", "x"),
+        ("<p id='search'>find me</p><div id='search'>no</div>", "find me"),
+        ("<div class='article-header'><h1>T</h1></div><div class='site-header'>no</div>", "T"),
+        ("<article><header class='post-header'><h1>T</h1></header><div class='header'>U</div><p>x</p></article>", "T\nU\nx"),
+        ("<article>teaser</article><div id='story'><p>the story, longer than its teaser</p></div>", "teaser\nthe story, longer than its teaser"),
+        ("<article>" + "<p>a <i>b</i></p>" * 30_000 + "</article><p>aside", "\n".join(["a b"] * 30_000)),
+        ("<div " + "x='y' " * 3000 + "hidden>no</div><p " + "z" * 200_000 + ">yes", "yes"),
+        ("<" * 1000 + "<p", "<" * 1000),
+    ],
+)
+def test_html_structure(page, want):
+    assert html_text.main_text(page, None) == want
+
+
 def test_common_lines_is_longest():
     r = random.Random(10)
     for _ in range(300):
