@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from .harvest import global_rank
 
 
-def cascade(df: DataFrame, gates: list[tuple[str, Column]]) -> DataFrame:
-    """df with gates_passed (names up to the first failure) and failed_gate; a null verdict fails."""
+def cascade(df: DataFrame, gates: list[tuple]) -> DataFrame:
+    """df with gates_passed (names up to the first failure) and failed_gate; a null verdict fails.
+
+    A gate is (name, verdict) or (name, verdict, shown), where ``shown`` tells whether a pass goes into the trail.
+    """
     passed, open_, failed = [], F.lit(True), F.lit(None).cast("string")
-    for name, ok in gates:
-        here = open_ & F.coalesce(ok, F.lit(False))
-        passed.append(F.when(here, F.lit(name)))
+    for name, ok, *shown in gates:
+        # a branch, so that a verdict that raises isn't asked once an earlier gate has failed
+        here = F.when(open_, F.coalesce(ok, F.lit(False))).otherwise(False)
+        passed.append(F.when(here & shown[0] if shown else here, F.lit(name)))
         failed = F.when(open_ & ~here, name).otherwise(failed)
         open_ = here
     return df.withColumns({"gates_passed": F.array_join(F.array_compact(F.array(*passed)), ","), "failed_gate": failed})

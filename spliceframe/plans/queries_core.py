@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import reads as R
-from ..operators import coverage, harvest
+from ..operators import coverage, harvest, preflight, residual
 from ..operators.intervals import clip, gap, nearest, nearest_stranded, overlap_join
 from .bridge import ctes, view
 from .catalog import query
@@ -232,3 +232,23 @@ def shared_site_count(spark: SparkSession, d: str) -> DataFrame:
 def greedy_chain(spark: SparkSession, d: str) -> DataFrame:
     grouped = _clusters(spark, d).groupBy("component").agg(F.collect_list(F.struct("start", "end", "support")).alias("m"))
     return grouped.select("component", F.array_join(F.transform(harvest.greedy_chain(F.col("m")), lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",").alias("chain"))
+
+
+@query("residual_build")
+def residual_build(spark: SparkSession, d: str) -> DataFrame:
+    # nodes have no recurrence of their own but support, samples and controls
+    junctions = view(spark, d, "nodes").withColumnRenamed("support", "support_sum")
+    loci = view(spark, d, "loci")
+    lengths = junctions.select("chrom", F.col("end").alias("length")).unionByName(loci.select("chrom", F.col("end").alias("length"))).groupBy("chrom").agg(F.max("length").alias("length"))
+    return residual.build(junctions, view(spark, d, "genes"), lengths, loci.select("chrom", "start", "end", F.when(F.col("strand") != ".", F.col("strand")).alias("strand")), max_exon=2000)
+
+
+@query("preflight_layout", ctes("aln") + """, n AS (SELECT sample_id, count(*) FILTER (flag % 2 = 1) AS n_paired, count(*) FILTER (flag % 2 = 0) AS n_single, count(*) FILTER (flag // 1024 % 2 = 1) > 0 AS duplicates_seen FROM aln WHERE flag // 4 % 2 = 0 AND flag // 256 % 2 = 0 AND flag // 2048 % 2 = 0 GROUP BY sample_id)
+ SELECT *, n_paired > 0.01 * (n_paired + n_single) AND n_single > 0.01 * (n_paired + n_single) AS mixed, CASE WHEN n_paired >= n_single THEN 'paired' ELSE 'single' END AS layout FROM n""")
+def preflight_layout(spark: SparkSession, d: str) -> DataFrame:
+    return preflight.layouts(view(spark, d, "aln"))
+
+
+@query("interval_reach", ctes("repeats") + """ SELECT chrom, "start", max("end") OVER (PARTITION BY chrom ORDER BY "start") AS reach FROM (SELECT chrom, "start", max("end") AS "end" FROM repeats GROUP BY ALL)""")
+def interval_reach(spark: SparkSession, d: str) -> DataFrame:
+    return coverage.reach(view(spark, d, "repeats"), "chrom")

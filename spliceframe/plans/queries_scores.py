@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
-from ..operators import gates, harvest, ranking
+from ..operators import candidates, gates, harvest, ranking
 from .bridge import ctes, view
 from .catalog import query
 
@@ -21,6 +21,44 @@ def gate_cascade(spark: SparkSession, d: str) -> DataFrame:
     return gates.cascade(view(spark, d, "obs"), tests).select("obs_id", "gates_passed", "failed_gate")
 
 
+_OF_LOCUS = {
+    "length_nt": '"end" - "start" + 1',
+    "n_introns": "n_exons - 1",
+    "has_nearest": "CASE WHEN ({k}) % 7 = 0 THEN false ELSE true END",
+    "nearest_distance": "({k}) * 37 % 9000",
+    "splice_fraction": "CASE WHEN ({k}) % 13 = 0 THEN 0.5 ELSE 1.0 END",
+    "repeat_share": "(({k}) % 40) / 100.0",
+}
+
+
+def _of_locus(column: str, number: str) -> str:
+    return _OF_LOCUS[column].replace("{k}", number)
+
+
+_STATES = """, f AS (SELECT locus_id, sample_id, any_value(grp) AS grp, max(tpm) AS tpm, max(valley) / 2 AS valley, max(gap) / 2 AS gap, max(depth) AS depth, max(bridge) AS bridge, sum(reads) % 5 <> 0 AS possible FROM obs GROUP BY ALL),
+ sheet AS (SELECT DISTINCT sample_id, grp FROM obs), s AS (SELECT l.locus_id, t.sample_id, t.grp, coalesce(f.tpm, 0) AS tpm, valley, gap, depth, bridge, possible FROM loci l CROSS JOIN sheet t LEFT JOIN f USING (locus_id, sample_id) WHERE l.locus_id IN (SELECT locus_id FROM f)),
+ a AS (SELECT locus_id, count(*) FILTER (grp = 'treat' AND tpm >= 0.1) AS n, count(*) FILTER (grp = 'treat' AND tpm >= 0.1 AND possible AND greatest(valley, gap) <= least(1.0, 0.1 * depth)) AS quiet, coalesce(sum(bridge) FILTER (grp = 'treat' AND tpm >= 0.1), 0) AS bridges,
+ max(tpm) FILTER (grp = 'control') AS control_max, median(tpm) FILTER (grp = 'treat') AS treat_median FROM s GROUP BY locus_id)"""
+_STEPS = [("min_exons", "n_exons >= 1", "true"), ("transcript_min_nt", "length_nt >= 100", "true"), ("canonical_splice", "n_introns = 0 OR splice_fraction >= 1.0", "n_introns > 0"), ("distance", "NOT has_nearest OR nearest_distance >= 1000", "true"), ("discontinuity", "NOT has_nearest OR (n > 0 AND quiet >= 1)", "true"), ("no_bridge", "NOT (has_nearest AND n > 0 AND bridges >= 8)", "true"), ("control", "control_max < 2.5", "false"), ("replicates", "n >= 2", "false"), ("treat_median", "treat_median >= 0.5", "false"), ("rmsk", "repeat_share < 0.35", "true"), ("detect", "true", "true")]
+_FAILED = "CASE " + " ".join(f"WHEN NOT ({t}) THEN '{n}'" for n, t, _ in _STEPS) + " END"
+_SHOWN = "concat('class'" + "".join(f", CASE WHEN {' AND '.join(f'({t})' for _, t, _ in _STEPS[: k + 1])} AND {shown} THEN ',{n}' ELSE '' END" for k, (n, _, shown) in enumerate(_STEPS)) + ")"
+
+
+@query(
+    "structure_gates",
+    ctes("loci", "obs") + _STATES + ", x AS (SELECT locus_id, n_exons, " + ", ".join(f"{_of_locus(c, 'CAST(substr(locus_id, 2) AS BIGINT)')} AS {c}" for c in _OF_LOCUS) + f", a.* EXCLUDE (locus_id) FROM loci JOIN a USING (locus_id)) SELECT locus_id, {_SHOWN} AS gates_passed, {_FAILED} AS failed_gate, CASE WHEN {_FAILED} IS NULL THEN 'candidate' WHEN {_FAILED} = 'control' THEN 'unnamed' ELSE 'dropped' END AS outcome, CAST(n AS INT) AS n_detected, CAST(bridges AS BIGINT) AS bridge_total, control_max, treat_median FROM x",
+)
+def structure_gates(spark: SparkSession, d: str) -> DataFrame:
+    obs = view(spark, d, "obs")
+    f = obs.groupBy("locus_id", "sample_id").agg((F.sum("reads") % 5 != 0).alias("valley_possible"), (F.max("valley") / 2).alias("valley_mean"), (F.max("gap") / 2).alias("gap_mean_depth"), F.max("depth").alias("locus_mean_depth"), F.max("bridge").alias("bridge_read_count"), F.array(F.sum("reads")).alias("junction_support"), F.max("tpm").alias("tpm"), F.sum("reads").alias("count"))
+    loci = view(spark, d, "loci").join(f.select("locus_id").distinct(), "locus_id", "left_semi")
+    number = "cast(substr(locus_id, 2) AS bigint)"
+    loci = loci.select("locus_id", "n_exons", *[F.expr(_of_locus(c, number).replace('"', "`").replace("/ 100.0", "/ 100.0D").replace("0.5 ELSE 1.0", "0.5D ELSE 1.0D")).alias(c) for c in _OF_LOCUS])
+    limits = candidates.Thresholds(bridge_reads=8, control_tpm=2.5, detecting_samples=2, repeat_share=0.35)
+    out = candidates.gate_loci(loci, f, f, obs.select("sample_id", "grp").distinct(), limits)
+    return out.select("locus_id", "gates_passed", "failed_gate", "outcome", "n_detected", "bridge_total", "control_max", "treat_median")
+
+
 @query("funnel_counts", ctes("obs") + f", f AS (SELECT *, {_first} AS failed FROM obs) SELECT failed, count(*) AS n, count(DISTINCT locus_id) AS n_loci FROM f GROUP BY failed")
 def funnel_counts(spark: SparkSession, d: str) -> DataFrame:
     obs = view(spark, d, "obs")
