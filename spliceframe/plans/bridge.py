@@ -94,20 +94,17 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
 _STRIP = {"spark": "regexp_replace(coalesce(text, ''), '[^A-Za-z]', '')", "duckdb": "regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')"}
 
 
-#: Views with costly expressions a row.
-SPREAD = {"aln", "seqs"}
-
-
 def spread(df: DataFrame) -> DataFrame:
     """df over all cores where its files have fewer splits than there are cores; as it is otherwise."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, costly: bool = False) -> DataFrame:
+    """The view's rows; costly ones over all cores, as sequences always are."""
     table, columns = VIEWS[name]
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    if name in SPREAD:
+    if costly or name == "seqs":
         df = spread(df.select(*sorted({c for c in df.columns if any(c in x for x in columns.values())} | ({"text"} if name == "seqs" else set()))))
     return df.select(*[F.expr(_spark(x)).alias(c) for c, x in columns.items()])
 

@@ -56,17 +56,17 @@ def strand_compat(spark: SparkSession, d: str) -> DataFrame:
 
 @query("cigar_blocks", ctes("aln") + f", {OPS} SELECT read_id, CAST(s AS BIGINT) AS block_start, CAST(s + n - 1 AS BIGINT) AS block_end FROM p WHERE op IN ('M', '=', 'X')")
 def cigar_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, "aln").select("read_id", F.inline(R.aligned_blocks(F.col("pos"), F.col("cigar"))).alias("block_start", "block_end"))
+    return view(spark, d, "aln", costly=True).select("read_id", F.inline(R.aligned_blocks(F.col("pos"), F.col("cigar"))).alias("block_start", "block_end"))
 
 
 @query("cigar_introns", ctes("aln") + f", {OPS} SELECT read_id, intron_start, intron_end FROM (SELECT DISTINCT rid, read_id, CAST(s AS BIGINT) AS intron_start, CAST(s + n - 1 AS BIGINT) AS intron_end FROM p WHERE op = 'N' AND n > 0)")
 def cigar_introns(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, "aln").select("read_id", F.inline(R.introns(F.col("pos"), F.col("cigar"))).alias("intron_start", "intron_end"))
+    return view(spark, d, "aln", costly=True).select("read_id", F.inline(R.introns(F.col("pos"), F.col("cigar"))).alias("intron_start", "intron_end"))
 
 
 @query("junction_census", ctes("aln") + ", " + JUNCTIONS + " SELECT * FROM census")
 def junction_census(spark: SparkSession, d: str) -> DataFrame:
-    return harvest.census(harvest.junction_reads(view(spark, d, "aln")))
+    return harvest.census(harvest.junction_reads(view(spark, d, "aln", costly=True)))
 
 
 @query("cohort_recurrence", ctes("aln") + ", " + RECUR + " SELECT * FROM rec")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
-from ..operators import candidates, gates, harvest, ranking
+from ..operators import candidates, coding, gates, harvest, ranking
 from .bridge import ctes, view
 from .catalog import query
 
@@ -194,6 +194,24 @@ def hexamer_llr(spark: SparkSession, d: str) -> DataFrame:
     return h.join(table, "x").groupBy("seq_id").agg(F.round(F.avg("llr"), 6).alias("coding_score"))
 
 
+_SIX = "(SELECT {key}substr({seq}, CAST(p AS INT), 6) AS x FROM (SELECT {key}{seq}, unnest(range(1, length({seq}) - 4, 3)) AS p FROM {table}))"
+
+
+@query(
+    "orf_coding",
+    ctes("seqs") + _ORF + ", orf_nt AS MATERIALIZED (SELECT o.seq_id, CAST(aa AS INT) AS aa, complete, substr(seqs.seq, CAST(3 * k + f + 1 AS INT), CAST(3 * aa AS INT)) AS nt FROM o JOIN seqs USING (seq_id) WHERE r = 1),"
+    + f" hex_c AS (SELECT x, count(*) AS n FROM {_SIX.format(key='', seq='nt', table='orf_nt')} GROUP BY x), hex_n AS (SELECT x, count(*) AS n FROM {_SIX.format(key='', seq='seq', table='seqs')} GROUP BY x),"
+    + " ratio AS (SELECT x, log2((coalesce(hex_c.n, 0) / CAST((SELECT sum(n) FROM hex_c) AS DOUBLE) + 1e-8) / (coalesce(hex_n.n, 0) / CAST((SELECT sum(n) FROM hex_n) AS DOUBLE) + 1e-8)) AS llr FROM hex_c FULL JOIN hex_n USING (x)),"
+    + f" scored AS (SELECT seq_id, avg(llr) AS score FROM {_SIX.format(key='seq_id, ', seq='nt', table='orf_nt')} JOIN ratio USING (x) GROUP BY seq_id)"
+    + " SELECT seqs.seq_id, coalesce(aa, 0) AS aa, coalesce(complete, false) AS complete, round(score, 6) AS coding_score, CASE WHEN score IS NULL OR score < 0 THEN 'noncoding' WHEN score > 0 THEN 'coding' ELSE 'ambiguous' END AS coding_label FROM seqs LEFT JOIN orf_nt USING (seq_id) LEFT JOIN scored USING (seq_id)",
+)
+def orf_coding(spark: SparkSession, d: str) -> DataFrame:
+    seqs = view(spark, d, "seqs").select("seq_id", "seq")
+    orfs = seqs.join(S.longest_orfs(seqs, "seq_id"), "seq_id").select(F.substring("seq", F.col("start") + 1, F.col("aa") * 3).alias("seq"))
+    coded = coding.coding_table(seqs.select(F.col("seq_id").alias("locus_id"), F.col("seq_id").alias("transcript_id"), "seq"), coding.count_hexamers(orfs, seqs))
+    return coded.select(F.col("transcript_id").alias("seq_id"), F.col("longest_orf_aa").alias("aa"), "complete", F.round("coding_score", 6).alias("coding_score"), "coding_label")
+
+
 @query("splice_fraction", ctes("seqs") + """, i AS (SELECT seq_id, seq, k * 13 + 1 AS s, k * 13 + 1 + (seq_id + k) % 12 AS e, seq_id % 2 AS m FROM (SELECT *, unnest(range(0, 8)) AS k FROM seqs WHERE length(seq) >= 130)),
  t AS (SELECT seq_id, e >= s + 3 AS long, CASE WHEN m = 1 THEN reverse(translate(substr(seq, CAST(e - 1 AS INT), 2), 'ACGT', 'TGCA')) ELSE substr(seq, CAST(s AS INT), 2) END AS don, CASE WHEN m = 1 THEN reverse(translate(substr(seq, CAST(s AS INT), 2), 'ACGT', 'TGCA')) ELSE substr(seq, CAST(e - 1 AS INT), 2) END AS acc FROM i)
  SELECT seq_id, round(count(*) FILTER (long AND don IN ('GT', 'GC') AND acc = 'AG') / CAST(8 AS DOUBLE), 6) AS canonical FROM t GROUP BY seq_id""")
