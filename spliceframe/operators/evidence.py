@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .intervals import overlap_join
+
 #: Limits of family and structure hits, hits kept, longest peptide that is folded anew. Fixed values.
 FAMILY_EVALUE, STRUCTURE_EVALUE, STRUCTURE_PROB, TOP, FOLD_AA = 0.01, 1e-3, 0.5, 5, 400
 _HIT = "struct<acc:string,name:string,desc:string,description:string,evalue:string,eval:string,prob:string,target:string>"
@@ -83,3 +85,28 @@ def function_table(loci: DataFrame, curated: DataFrame, structures: DataFrame) -
     text = curated.groupBy("gene_id").agg(F.min("text").alias("curated"))
     first = best_hits(structures, STRUCTURE_EVALUE, STRUCTURE_PROB, 1).select("locus_id", F.col("name").alias("structure_hit"), F.col("description").alias("structure_description"))
     return loci.join(text, "gene_id", "left").join(first, "locus_id", "left")
+
+
+def assemblies(loci: DataFrame, transcripts: DataFrame, unstranded: bool = False) -> DataFrame:
+    """locus_id, sample_id, n_isoforms, max_cov, span_start, span_end and delta (the span's furthest edge from the locus's own) of each sample whose assembly touches a locus.
+
+    loci: locus_id, chrom, strand, start, end; transcripts: sample_id, chrom, strand, start, end, cov. Strands must agree
+    unless one of them is unknown or the library is unstranded. Null coverage counts as an isoform without one.
+    """
+    own = F.coalesce("strand", F.lit("."))
+    hit = overlap_join(loci.select("locus_id", "chrom", own.alias("strand"), "start", "end"), transcripts.select("sample_id", "chrom", own.alias("strand"), "start", "end", "cov"))
+    if not unstranded:
+        hit = hit.where(F.col("strand").isin(".", "") | (F.col("r_strand") == ".") | (F.col("strand") == F.col("r_strand")))
+    each = hit.groupBy("locus_id", F.col("r_sample_id").alias("sample_id")).agg(F.count(F.lit(1)).alias("n_isoforms"), F.max("r_cov").alias("max_cov"), F.min("r_start").alias("span_start"), F.max("r_end").alias("span_end"), F.first("start").alias("_s"), F.first("end").alias("_e"))
+    return each.withColumn("delta", F.greatest(F.abs(F.col("span_start") - F.col("_s")), F.abs(F.col("span_end") - F.col("_e")))).drop("_s", "_e")
+
+
+def assembly_summary(loci: DataFrame, found: DataFrame, sheet: DataFrame) -> DataFrame:
+    """locus_id, assembled_in (samples in the sheet's order, comma-joined), n_control, n_treat and max_delta of every locus, of what ``assemblies`` found.
+
+    sheet: sample_id, grp and row (its order). A locus that no sample assembled has an empty list, zeros and a null.
+    """
+    met = found.join(sheet.select("sample_id", "grp", "row"), "sample_id")
+    each = met.groupBy("locus_id").agg(F.array_sort(F.collect_list(F.struct("row", "sample_id"))).alias("_in"), F.count_if(F.col("grp") == "control").alias("n_control"), F.count_if(F.col("grp") == "treat").alias("n_treat"), F.max("delta").alias("max_delta"))
+    none = F.lit(0).cast("long")
+    return loci.select("locus_id").join(each, "locus_id", "left").select("locus_id", F.coalesce(F.array_join(F.col("_in.sample_id"), ","), F.lit("")).alias("assembled_in"), F.coalesce("n_control", none).alias("n_control"), F.coalesce("n_treat", none).alias("n_treat"), "max_delta")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import chrom_key
-from .intervals import nearest, overlap_join
+from .intervals import nearest, nearest_stranded, overlap_join
 
 #: Worst class first. Fixed values.
 CLASS_RANK = {"overlap": 4, "extension": 3, "x": 2, "i": 1, "u": 0}
@@ -26,23 +26,23 @@ def universe(models: DataFrame, residuals: DataFrame, prefix: str = "RSDL.") ->
     return models.withColumn("gene_id", clash).unionByName(residuals, allowMissingColumns=True)
 
 
-def _same(q: Column, r: Column) -> Column:
-    return (q == ".") | (r == ".") | (q == r)
+def _same(q: Column, r: Column, unstranded: bool = False) -> Column:
+    return F.lit(True) if unstranded else (q == ".") | (r == ".") | (q == r)
 
 
-def class_codes(exons: DataFrame, ref_exons: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Class of each query transcript against reference exons and gene bodies.
+def class_codes(exons: DataFrame, ref_exons: DataFrame, bodies: DataFrame, unstranded: bool = False) -> DataFrame:
+    """Class of each query transcript against reference exons and gene bodies; of an unstranded library every strand is its own.
 
     exons: transcript_id, chrom, strand, start, end, tx_start, tx_end. ref_exons: ref_id, chrom, strand, start, end,
     ref_start, ref_end. bodies: chrom, strand, start, end. The best reference has most shared bases, of equal ones the
     least id. u: touches no exon and no body; else by same-strand exons, opposite exons, same-strand body, opposite body.
     """
     e = overlap_join(exons, ref_exons)
-    same = _same(F.col("strand"), F.col("r_strand"))
+    same = _same(F.col("strand"), F.col("r_strand"), unstranded)
     per = e.groupBy("transcript_id", F.col("r_ref_id").alias("ref_id")).agg(F.sum(F.when(same, F.least("end", "r_end") - F.greatest("start", "r_start") + 1)).alias("bases"), F.first("r_ref_start").alias("rs"), F.first("r_ref_end").alias("re"), F.bool_or(same).alias("same"))
     of_exons = per.groupBy("transcript_id").agg(F.bool_or("same").alias("same_exon"), F.min(F.when(F.col("same"), F.struct((-F.col("bases")).alias("b"), "ref_id", "rs", "re"))).alias("best"))
     b = overlap_join(exons.select("transcript_id", "chrom", "strand", "start", "end"), bodies)
-    of_bodies = b.groupBy("transcript_id").agg(F.bool_or(_same(F.col("strand"), F.col("r_strand"))).alias("same_body"))
+    of_bodies = b.groupBy("transcript_id").agg(F.bool_or(_same(F.col("strand"), F.col("r_strand"), unstranded)).alias("same_body"))
     tx = exons.groupBy("transcript_id").agg(F.min("tx_start").alias("tx_start"), F.max("tx_end").alias("tx_end"))
     j = tx.join(of_exons, "transcript_id", "left").join(of_bodies, "transcript_id", "left")
     sticks_out = (F.col("tx_start") < F.col("best.rs")) | (F.col("tx_end") > F.col("best.re"))
@@ -69,6 +69,25 @@ def representatives(classes: DataFrame) -> DataFrame:
     return classes.groupBy("locus_id").agg(F.bool_and(F.col("class") == "u").alias("_u"), best.alias("b")).where("_u").select("locus_id", F.col("b.transcript_id").alias("transcript_id"))
 
 
+def nearest_genes(loci: DataFrame, bodies: DataFrame, unstranded: bool = False) -> DataFrame:
+    """loci with overlaps_gene (a body on either strand touches it) and its nearest gene: nearest_id, nearest_name, distance, nearest_strand, body_start, body_end.
+
+    The nearest is on the locus's own strand, or on any if it has none or the library is unstranded. Of bodies at one
+    distance those of gene rows come before derived ones, then the least gene_id. Loci on contigs without such bodies,
+    or with a null place, get nulls. bodies: chrom, strand, start, end, gene_id, gene_name, derived; one a contig and id.
+    """
+    keyed = bodies.withColumn("_key", F.concat(F.when(F.coalesce("derived", F.lit(False)), "1").otherwise("0"), "gene_id"))
+    sided = keyed.select("chrom", "strand", "start", "end", F.col("_key").alias("gene_id"))
+    own = loci.withColumns({"_locus": F.struct("chrom", "start", "end"), "_given": F.struct(*loci.columns)}).select("chrom", "start", "end", "strand", "_locus", "_given")
+    near = nearest(own, sided) if unstranded else nearest_stranded(own, sided)
+    about = keyed.select(F.col("chrom").alias("_chrom"), "_key", F.struct(F.col("gene_id").alias("id"), F.col("gene_name").alias("name"), "strand", "start", "end").alias("_gene"))
+    touched = overlap_join(loci.select("chrom", "start", "end").distinct(), sided, how="semi").select(F.struct("chrom", "start", "end").alias("_locus"), F.lit(True).alias("_touched"))
+    out = near.join(about, (F.col("chrom") == F.col("_chrom")) & (F.col("nearest_id") == F.col("_key")), "left").join(touched, "_locus", "left")
+    told = {"nearest_id": "id", "nearest_name": "name", "nearest_strand": "strand", "body_start": "start", "body_end": "end"}
+    gene = {a: F.col(f"_gene.{b}").alias(a) for a, b in told.items()}
+    return out.select("_given.*", F.coalesce("_touched", F.lit(False)).alias("overlaps_gene"), gene["nearest_id"], gene["nearest_name"], "distance", gene["nearest_strand"], gene["body_start"], gene["body_end"])
+
+
 def name_loci(loci: DataFrame, bodies: DataFrame) -> DataFrame:
     """locus_id, named_overlap and gene_id: a same-strand coding gene, else any on the strand, else any, by (start, id).
 

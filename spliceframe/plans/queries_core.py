@@ -228,7 +228,12 @@ def shared_site_count(spark: SparkSession, d: str) -> DataFrame:
     return harvest.shared_sites(_clusters(spark, d))
 
 
-@query("greedy_chain")
+_CHAIN = """, r AS (SELECT component, "start" AS s, "end" AS e, row_number() OVER (PARTITION BY component ORDER BY support DESC, "start", "end") AS k FROM nodes JOIN comp USING (node)),
+g(component, k, kept) AS (SELECT component, k, [{'s': s, 'e': e}] FROM r WHERE k = 1
+ UNION ALL SELECT g.component, r.k, CASE WHEN len(list_filter(g.kept, lambda y: r.s <= y.e AND y.s <= r.e)) = 0 THEN list_append(g.kept, {'s': r.s, 'e': r.e}) ELSE g.kept END FROM g JOIN r ON r.component = g.component AND r.k = g.k + 1)"""
+
+
+@query("greedy_chain", ctes("nodes") + _EDGES + _CHAIN + " SELECT component, array_to_string(list_transform(list_sort(kept), lambda y: concat(y.s, '-', y.e)), ',') AS chain FROM (SELECT component, arg_max(kept, k) AS kept FROM g GROUP BY component)")
 def greedy_chain(spark: SparkSession, d: str) -> DataFrame:
     grouped = _clusters(spark, d).groupBy("component").agg(F.collect_list(F.struct("start", "end", "support")).alias("m"))
     return grouped.select("component", F.array_join(F.transform(harvest.greedy_chain(F.col("m")), lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",").alias("chain"))

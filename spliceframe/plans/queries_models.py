@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from ..operators import coverage, expression, models, quantify
+from ..operators import coverage, evidence, expression, models, quantify
 from ..operators.intervals import overlap_join
 from .bridge import ctes, view
 from .catalog import query
@@ -245,3 +245,21 @@ def contig_digest(spark: SparkSession, d: str) -> DataFrame:
     return c.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "chrom", F.col("n").cast("string")))), ",").cast("binary"), 256).alias("digest"))
 
 
+@query("nearest_gene_record", ctes("loci", "genes") + """, n AS (SELECT locus_id, g.*, CASE WHEN l."start" <= g."end" AND g."start" <= l."end" THEN 0 ELSE greatest(g."start" - l."end" - 1, l."start" - g."end" - 1) END AS distance FROM loci l JOIN genes g ON l.chrom = g.chrom AND (l.strand = '.' OR l.strand = g.strand)),
+ k AS (SELECT *, row_number() OVER (PARTITION BY locus_id ORDER BY distance, n_exons = 1, gene_id) AS r FROM n)
+ SELECT l.locus_id, EXISTS (SELECT 1 FROM genes g WHERE g.chrom = l.chrom AND g."start" <= l."end" AND l."start" <= g."end") AS overlaps_gene, gene_id AS nearest_id, gene_name AS nearest_name, CAST(distance AS BIGINT) AS distance, k.strand AS nearest_strand, k."start" AS body_start, k."end" AS body_end FROM loci l LEFT JOIN k ON k.locus_id = l.locus_id AND r = 1""")
+def nearest_gene_record(spark: SparkSession, d: str) -> DataFrame:
+    loci = view(spark, d, "loci").select("locus_id", "chrom", "strand", "start", "end")
+    bodies = view(spark, d, "genes").withColumn("derived", F.col("n_exons") == 1)
+    return models.nearest_genes(loci, bodies).drop("chrom", "strand", "start", "end")
+
+
+@query("assembly_summary", ctes("loci", "repeats") + """, t AS (SELECT *, concat('s', repeat_id % 6) AS sample_id, CASE repeat_id % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '.' END AS strand FROM repeats),
+ e AS (SELECT locus_id, sample_id, greatest(abs(min(t."start") - any_value(l."start")), abs(max(t."end") - any_value(l."end"))) AS delta FROM loci l JOIN t ON l.chrom = t.chrom AND l."start" <= t."end" AND t."start" <= l."end" AND (l.strand = '.' OR t.strand = '.' OR l.strand = t.strand) GROUP BY ALL)
+ SELECT locus_id, coalesce(string_agg(sample_id, ',' ORDER BY sample_id), '') AS assembled_in, count(*) FILTER (sample_id IN ('s0', 's1')) AS n_control, count(*) FILTER (sample_id > 's1') AS n_treat, CAST(max(delta) AS BIGINT) AS max_delta FROM loci LEFT JOIN e USING (locus_id) GROUP BY locus_id""")
+def assembly_summary(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("repeat_id") % 3
+    t = view(spark, d, "repeats").select(F.concat(F.lit("s"), (F.col("repeat_id") % 6).cast("string")).alias("sample_id"), "chrom", F.when(n == 0, "+").when(n == 1, "-").otherwise(".").alias("strand"), "start", "end", F.col("value").alias("cov"))
+    sheet = t.select("sample_id").distinct().select("sample_id", F.when(F.col("sample_id").isin("s0", "s1"), "control").otherwise("treat").alias("grp"), F.col("sample_id").alias("row"))
+    loci = view(spark, d, "loci")
+    return evidence.assembly_summary(loci, evidence.assemblies(loci, t), sheet)

@@ -62,3 +62,23 @@ def species_key(name: Column) -> Column:
     """Common names and assemblies of the two species to one key; others as they are, in lower case."""
     low = F.lower(F.trim(name))
     return F.when(low.isin("human", "homo sapiens", "hg38", "grch38"), "human").when(low.isin("mouse", "mus musculus", "mm10", "mm39", "grcm38", "grcm39"), "mouse").otherwise(low)
+
+
+def read_contig_lengths(spark: SparkSession, path: str) -> DataFrame:
+    """chrom and length of each contig of a FASTA index, under its own name and under its ``chrom_key``.
+
+    Where both name one contig and the lengths differ, that of its own name holds, of several the greatest. Lines of one
+    field go; a length that is no whole number is an error.
+    """
+    from ..functions.sequences import chrom_key
+
+    p = F.split("value", "\t")
+    lines = spark.read.text(path).where(F.size(p) >= 2).select(p[0].alias("name"), p[1].cast("long").alias("length"))
+    names = lines.select("length", F.explode(F.array(F.struct(F.col("name").alias("chrom"), F.lit(1).alias("own")), F.struct(chrom_key(F.col("name")).alias("chrom"), F.lit(0).alias("own")))).alias("n"))
+    return names.groupBy("n.chrom").agg(F.max(F.struct("n.own", "length"))["length"].alias("length"))
+
+
+def browser_genome(assembly: Column) -> Column:
+    """The genome browsers' name of an assembly; null for others."""
+    name = F.trim(assembly)
+    return F.when(name.isin("GRCm39", "mm39"), "mm39").when(name.isin("GRCh38", "hg38"), "hg38")
