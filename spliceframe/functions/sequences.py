@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,36 +42,70 @@ def translate(seq: Column) -> Column:
     return F.translate(F.array_join(F.transform(codons(seq), one), ""), "*", "")
 
 
-def longest_orfs(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
-    """key, aa, frame, start and complete: ATG to a stop or the end; the longest, then the least frame, then the first.
+#: Code of a base by its byte; what is no base makes any triplet it is in 64 or more.
+_BASE = np.full(256, 64, np.int32)
+_BASE[list(b"ACGT")] = range(4)
+_ATG, _STOPS = 14, np.isin(np.arange(65), (48, 50, 56))
+
+
+def triplets(seq: str) -> np.ndarray:
+    """Codes 0 to 63 of the three bases from each place on; 64 or more where one is none of ACGT."""
+    c = _BASE[np.frombuffer(seq.encode("ascii", "replace"), np.uint8)]
+    return c[:-2] * 16 + c[1:-1] * 4 + c[2:]
+
+
+def in_frame_hexamers(seq: str) -> np.ndarray:
+    """Codes 0 to 4095 of the hexamers at every third place from the first, those of ACGT alone."""
+    t = triplets(seq)[::3]
+    a, b = t[:-1], t[1:]
+    return (a * 64 + b)[(a < 64) & (b < 64)]
+
+
+def _best_frame(seq: str) -> tuple[int, int, int, bool, str] | None:
+    """aa, frame, start, complete and bases of the longest frame; None without an ATG."""
+    t, best = triplets(seq), None
+    for frame in range(3):
+        codes = t[frame::3]
+        starts = np.flatnonzero(codes == _ATG)
+        if not len(starts):
+            continue
+        stops = np.append(np.flatnonzero(_STOPS[np.minimum(codes, 64)]), len(codes))
+        at = np.searchsorted(stops, starts)
+        aa = stops[at] - starts
+        k = int(aa.argmax())
+        if best is None or aa[k] > best[0]:
+            best = int(aa[k]), frame, int(starts[k]) * 3 + frame, bool(at[k] < len(stops) - 1)
+    return best and (*best, seq[best[2] : best[2] + 3 * best[0]])
+
 
-    Each frame is written as codons of four characters and split at its stops; the first ATG of a piece is its longest,
-    so a row takes one step a piece and no shuffle. Sequences without an ATG have no row.
+def by_text(one: Callable[[str], tuple | None], kind: str) -> Callable[[Column], Column]:
+    """A column function over texts: the struct that ``one`` gives of a text, null where that is None or the text null."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        out = [None if x is None else one(x) for x in (x.as_py() for x in texts)]
+        return pa.array([x and dict(zip(names, x)) for x in out], pa.struct(fields))
+
+    types = {"int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
+    fields = [(name, types[t]) for name, t in (f.split() for f in kind.split(", "))]
+    names = [name for name, _ in fields]
+    # not deterministic to Spark, so that each use of a field or a filter doesn't compute it once more
+    return F.arrow_udf(run, kind).asNondeterministic()
+
+
+def longest_orf(seq: Column) -> Column:
+    """A struct of aa, frame, start, complete and nt (the frame's bases without its stop), as in ``longest_orfs``; null without an ATG.
+
+    A column function over texts, as expressions make a string of each codon; the README has the figures.
     """
+    return by_text(_best_frame, "aa int, frame int, start int, complete boolean, nt string")(F.upper(seq))
 
-    def best(frame: int) -> Column:
-        spaced = F.regexp_replace(F.substring("_seq", frame + 1, 2**31 - 1), "(?s)(.{3})", "$1 ")
-        pieces = F.split(spaced, "(?:" + "|".join(STOPS) + ") ", -1)
-        start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit(0).alias("aa"), F.lit(0).alias("from"), F.lit(0).alias("piece"))
-
-        def step(acc, x):
-            found = F.instr(x, "ATG ")
-            aa = F.when(found > 0, F.floor((F.length(x) - found + 1) / 4).cast("int")).otherwise(0)
-            longer = aa > acc["aa"]
-            return F.struct(
-                (acc["at"] + F.floor(F.length(x) / 4).cast("int") + 1).alias("at"),
-                (acc["n"] + 1).alias("n"),
-                F.greatest(aa, acc["aa"]).alias("aa"),
-                F.when(longer, acc["at"] + F.floor((found - 1) / 4).cast("int")).otherwise(acc["from"]).alias("from"),
-                F.when(longer, acc["n"]).otherwise(acc["piece"]).alias("piece"),
-            )
-
-        return F.aggregate(pieces, start, step, lambda acc: F.struct((-acc["aa"]).alias("a"), F.lit(frame).alias("frame"), (acc["from"] * 3 + frame).alias("start"), (acc["piece"] < acc["n"] - 1).alias("complete")))
 
-    # an outer explode of one value keeps it from being computed anew for each use
-    once = df.select(key, F.explode_outer(F.array(F.upper(F.col(seq)))).alias("_seq"))
-    out = once.select(key, F.explode_outer(F.array(F.array_min(F.array(*[best(f) for f in range(3)])))).alias("_o")).where("_o.a < 0")
-    return out.select(key, (-F.col("_o.a")).alias("aa"), F.col("_o.frame").alias("frame"), F.col("_o.start").alias("start"), F.col("_o.complete").alias("complete"))
+def longest_orfs(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
+    """key, aa, frame, start and complete: ATG to a stop or the end; the longest, then the least frame, then the first.
+
+    In the row, no shuffle. Sequences without an ATG have no row.
+    """
+    return df.select(key, longest_orf(F.col(seq)).alias("_o")).where("_o IS NOT NULL").select(key, "_o.aa", "_o.frame", "_o.start", "_o.complete")
 
 
 def _ladder(value: Column, cuts: tuple, scores: tuple) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
+from .storage import cut
 
 #: What is added to both frequencies of a hexamer. A fixed value.
 PSEUDO = 1e-8
@@ -23,22 +26,35 @@ def read_hexamers(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(name.alias("hexamer"), coding.alias("coding"), other.alias("noncoding"))
 
 
-def _hexamers(seqs: DataFrame) -> DataFrame:
-    c = seqs.select(S.codons(F.upper(F.col("seq"))).alias("c")).where(F.size("c") > 1)
-    both = F.zip_with(F.slice("c", F.lit(1), F.size("c") - 1), F.slice("c", F.lit(2), F.size("c") - 1), lambda a, b: F.concat(a, b))
-    return c.select(F.explode(both).alias("hexamer")).where(F.col("hexamer").rlike("^[ACGT]{6}$"))
+def _counts(seqs: DataFrame) -> DataFrame:
+    """code and n: how often each in-frame hexamer stands in a task's sequences (column seq)."""
+
+    def run(batches):
+        total = np.zeros(4096, np.int64)
+        for b in batches:
+            for x in b.column("seq"):
+                total += np.bincount(S.in_frame_hexamers(x.as_py() or ""), minlength=4096)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held], pa.int64())], ["code", "n"])
+
+    return seqs.select(F.upper("seq").alias("seq")).mapInArrow(run, "code int, n long")
+
+
+def hexamer(code: Column) -> Column:
+    """The six bases of a code from 0 to 4095."""
+    return F.concat(*[F.substring(F.lit(_BASES), F.shiftright(code, 10 - 2 * k).bitwiseAND(3) + 1, F.lit(1)) for k in range(6)])
 
 
 def count_hexamers(coding: DataFrame, noncoding: DataFrame) -> DataFrame:
     """hexamer and its share of all in-frame hexamers of coding and of noncoding sequences (column seq); one that either lacks has 0 there.
 
-    Counts are partial first: what is shuffled is at most 4096 rows a task.
+    Each task counts its own, so what is shuffled is at most 4096 rows a task, and the sums are of at most 4096 rows.
     """
-    each = _hexamers(coding).select("hexamer", F.lit(1).alias("c"), F.lit(0).alias("n")).unionAll(_hexamers(noncoding).select("hexamer", F.lit(0), F.lit(1)))
-    counts = each.groupBy("hexamer").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
-    total = counts.agg(F.sum("c").alias("tc"), F.sum("n").alias("tn"))
-    share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
-    return counts.join(F.broadcast(total)).select("hexamer", share("c", "tc").alias("coding"), share("n", "tn").alias("noncoding"))
+    each = _counts(coding).select("code", F.col("n").alias("c"), F.lit(0).alias("n")).unionAll(_counts(noncoding).select("code", F.lit(0), "n"))
+    counts = each.groupBy("code").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
+    whole = Window.partitionBy(F.lit(0))
+    share = lambda a: F.when(F.sum(a).over(whole) > 0, F.col(a) / F.sum(a).over(whole)).otherwise(0.0)
+    return counts.select(hexamer(F.col("code")).alias("hexamer"), share("c").alias("coding"), share("n").alias("noncoding"))
 
 
 def _code(triplet: Column) -> Column:
@@ -47,17 +63,31 @@ def _code(triplet: Column) -> Column:
     return F.when((at[0] >= 0) & (at[1] >= 0) & (at[2] >= 0), at[0] * 16 + at[1] * 4 + at[2])
 
 
-def ratios(table: DataFrame) -> Column:
-    """log2 ratio of each of 4096 hexamers by code, null where the table has none: one value for the whole query, read once.
+def ratios(table: DataFrame) -> np.ndarray:
+    """log2 ratio of each of 4096 hexamers by code, NaN where the table has none: read once, at most 4096 rows.
 
     A hexamer that stands twice counts by its last ratio in order; an empty table is an error.
     """
     llr = F.log2((F.col("coding") + PSEUDO) / (F.col("noncoding") + PSEUDO))
     code = _code(F.substring("hexamer", 1, 3)) * 64 + _code(F.substring("hexamer", 4, 3))
-    one = table.groupBy(code.alias("code")).agg(F.max(llr).alias("llr")).where("code IS NOT NULL")
-    held = one.agg(F.map_from_entries(F.collect_list(F.struct("code", "llr"))).alias("m"))
-    whole = F.when(F.size("m") > 0, F.transform(F.sequence(F.lit(0), F.lit(4095)), lambda k: F.col("m")[k])).otherwise(F.raise_error(F.lit("the hexamer table has no rows")).cast("array<double>"))
-    return held.select(whole.alias("r")).scalar()
+    rows = table.groupBy(code.alias("code")).agg(F.max(llr).alias("llr")).where("code IS NOT NULL").collect()
+    if not rows:
+        raise ValueError("the hexamer table has no rows")
+    out = np.full(4096, np.nan)
+    out[[r["code"] for r in rows]] = [np.nan if r["llr"] is None else r["llr"] for r in rows]
+    return out
+
+
+def hexamer_sums(seq: Column, table: DataFrame) -> Column:
+    """A struct of total and n: the ratios of a sequence's in-frame hexamers that the table has, added up, and how many."""
+    at = ratios(table)
+
+    def one(text: str) -> tuple[float, int]:
+        found = at[S.in_frame_hexamers(text)]
+        found = found[~np.isnan(found)]
+        return float(found.sum()), len(found)
+
+    return S.by_text(one, "total double, n int")(F.upper(seq))
 
 
 def hexamer_scores(df: DataFrame, key: str, seq: str, table: DataFrame) -> DataFrame:
@@ -65,16 +95,20 @@ def hexamer_scores(df: DataFrame, key: str, seq: str, table: DataFrame) -> DataF
 
     Everything happens in the row, from an array of 4096 ratios.
     """
-    codes = F.transform(S.codons(F.upper(F.col(seq))), _code)
-    # an outer explode of one value keeps it from being computed anew for each use
-    once = df.select(key, F.explode_outer(F.array(codes)).alias("_c"))
-    at = ratios(table)
-    n = F.greatest(F.size("_c") - 1, F.lit(0))
-    pairs = F.zip_with(F.slice("_c", F.lit(1), n), F.slice("_c", F.lit(2), n), lambda a, b: a * 64 + b)
-    # a column of its own, as a subquery may not stand within a lambda
-    held = once.withColumn("_at", at)
-    found = held.select(key, F.explode_outer(F.array(F.filter(F.transform(F.filter(pairs, lambda k: k.isNotNull()), lambda k: F.get("_at", k)), lambda v: v.isNotNull()))).alias("_v"))
-    return found.select(key, F.when(F.size("_v") > 0, F.aggregate("_v", F.lit(0.0), lambda a, v: a + v) / F.size("_v")).alias("coding_score"))
+    found = df.select(key, hexamer_sums(F.col(seq), table).alias("_s"))
+    return found.select(key, F.when(F.col("_s.n") > 0, F.col("_s.total") / F.col("_s.n")).alias("coding_score"))
+
+
+def reading_frames(transcripts: DataFrame) -> DataFrame:
+    """locus_id, transcript_id, aa, complete and nt of each transcript's longest reading frame, the last three null without one or without transcript_id."""
+    frame = S.longest_orf(F.when(F.col("transcript_id").isNotNull(), F.col("seq")))
+    return transcripts.select("locus_id", "transcript_id", frame.alias("_o")).select("locus_id", "transcript_id", "_o.aa", "_o.complete", "_o.nt")
+
+
+def score_frames(frames: DataFrame, table: DataFrame, low: float = 0.0, high: float = 0.0) -> DataFrame:
+    """frames, as ``reading_frames`` gives them, with coding_score and coding_label."""
+    told = frames.withColumn("_s", hexamer_sums(F.col("nt"), table)).withColumn("coding_score", F.when(F.col("_s.n") > 0, F.col("_s.total") / F.col("_s.n"))).drop("_s")
+    return told.withColumn("coding_label", F.when(F.col("aa").isNull(), "noncoding").otherwise(S.coding_label(F.col("coding_score"), low, high)))
 
 
 def coding_table(transcripts: DataFrame, table: DataFrame, low: float = 0.0, high: float = 0.0) -> DataFrame:
@@ -83,12 +117,9 @@ def coding_table(transcripts: DataFrame, table: DataFrame, low: float = 0.0, hig
     Both scores are of the reading frame's bases without its stop. A transcript without a start has 0, false, nulls,
     noncoding and an empty peptide. transcript_id is a row's key.
     """
-    kept = transcripts.select("locus_id", "transcript_id", F.upper("seq").alias("seq"))
-    orfs = kept.join(S.longest_orfs(kept, "transcript_id"), "transcript_id").select("transcript_id", "aa", "complete", F.substring("seq", F.col("start") + 1, F.col("aa") * 3).alias("nt"))
-    scored = orfs.join(hexamer_scores(orfs, "transcript_id", "nt", table), "transcript_id").join(S.fickett_scores(orfs, "transcript_id", "nt"), "transcript_id")
-    told = kept.drop("seq").join(scored, "transcript_id", "left")
-    label = F.when(F.col("aa").isNull(), "noncoding").otherwise(S.coding_label(F.col("coding_score"), low, high))
-    return told.select("locus_id", "transcript_id", F.coalesce("aa", F.lit(0)).alias("longest_orf_aa"), F.coalesce("complete", F.lit(False)).alias("complete"), "coding_score", "fickett", label.alias("coding_label"), S.translate(F.col("nt")).alias("peptide"))
+    told = cut(score_frames(reading_frames(transcripts), table, low, high))
+    told = told.join(S.fickett_scores(told.where("nt IS NOT NULL"), "transcript_id", "nt"), "transcript_id", "left")
+    return told.select("locus_id", "transcript_id", F.coalesce("aa", F.lit(0)).alias("longest_orf_aa"), F.coalesce("complete", F.lit(False)).alias("complete"), "coding_score", "fickett", "coding_label", S.translate(F.col("nt")).alias("peptide"))
 
 
 def peptide_records(coded: DataFrame, least: int = 1) -> DataFrame:

@@ -8,6 +8,9 @@ import pytest
 
 from spliceframe.functions import sequences as S
 from spliceframe.operators import coding
+from spliceframe.plans.registry import QUERIES
+
+SF = "/root/testdata/sf0.001"
 
 
 def orf(seq):
@@ -66,3 +69,25 @@ def test_coding_table(spark):
     assert len(records) == sum(bool(o) and o[0] >= 3 for o in orfs.values()) and ("L124|t124|6", "MKPGFK") in map(tuple, records)
     with pytest.raises(Exception, match="no rows"):
         coding.coding_table(df, table.where("false")).collect()
+
+
+def test_frames_and_sums_in_one_pass(spark):
+    r = random.Random(3)
+    seqs = ["".join(r.choice("ACGT" * 9 + "NU\u00df\U0001d4d0") for _ in range(r.randint(0, 3000))) for _ in range(60)] + ["", "A", "AT", "ATG", "ATGTAA", None]
+    df = spark.createDataFrame(list(enumerate(seqs)), "k int, seq string").repartition(3)
+    want = {k: orf((s or "").upper()) for k, s in enumerate(seqs)}
+    assert {x["k"]: (x["aa"], x["start"], x["complete"]) for x in S.longest_orfs(df, "k").collect()} == {k: o for k, o in want.items() if o}
+    table = spark.createDataFrame([("ACGTAC", 0.5, 0.25), ("TTTTTT", 0.0, 1.0)], "hexamer string, coding double, noncoding double")
+    llr = {x["hexamer"]: log2((x["coding"] + 1e-8) / (x["noncoding"] + 1e-8)) for x in table.collect()}
+    got = {x["k"]: x["coding_score"] for x in coding.hexamer_scores(df, "k", "seq", table).collect()}
+    for k, s in enumerate(seqs):
+        held = [llr[h] for h in hexamers((s or "").upper()) if h in llr]
+        assert got[k] == (pytest.approx(sum(held) / len(held)) if held else None)
+    # a row without a key has no frame but counts among all sequences
+    unnamed = spark.createDataFrame([("L", None, "ATGAAA"), ("L", "t", "ATGAAA")], "locus_id string, transcript_id string, seq string")
+    assert sorted(map(tuple, coding.reading_frames(unnamed).collect()), key=str) == [("L", "t", 2, False, "ATGAAA"), ("L", None, None, None, None)]
+
+
+def test_orf_coding_reads_frames_without_joins(spark):
+    plan = QUERIES["orf_coding"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "regexp_replace" not in plan
