@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,10 +19,6 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df written to the shared folder, computed once: held while it is written, then released."""
+    """df written to the shared folder, computed once and held nowhere else: an eager checkpoint runs no other job before it writes."""
     shared_dir(df.sparkSession)
-    held = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+    return df.checkpoint(eager=True)

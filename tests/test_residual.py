@@ -157,3 +157,23 @@ def test_no_genes_and_no_junctions(spark):
     want = plain(junctions, [], lengths, None, 30, 600)
     assert {r["residual_id"]: r["exon_structure"] for r in got} == {k: v[7] for k, v in want.items()} and all(r["nearest_id"] is None for r in got)
     assert residual.build(d([], JUNCTIONS), d(bodies, BODIES), d(lengths, "chrom string, length long")).count() == 0
+
+
+def test_cut_computes_once_and_keeps_no_second_copy(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from spliceframe.operators.storage import cut
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("a second copy")
+
+    monkeypatch.setattr(DataFrame, "persist", refuse)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    held = cut(spark.range(1000).repartition(3).mapInArrow(count, "id long"))
+    assert held.count() == 1000 and held.agg({"id": "sum"}).first()[0] == 499500 and seen.value == 1000
