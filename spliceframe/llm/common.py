@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import re
 import zlib
@@ -36,6 +37,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: What a Python worker keeps from task to task.
+_kept: dict = {}
+
+
+def keep(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in a Python worker and kept from task to task, until another key or ``let_go`` takes its place."""
+    if key not in _kept:
+        let_go()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def let_go() -> None:
+    """Frees what an earlier stage's tasks have kept in this Python worker, so that the stages' stores never stand side by side."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+
+
 def each(column: pa.Array) -> Iterator:
     """A column's values one by one, so that a batch of texts isn't held twice."""
     return (x.as_py() for x in column)
@@ -66,6 +86,7 @@ def trained(sample: DataFrame, train: Callable[[list[tuple[str, int]]], object])
     """
 
     def run(batches):
+        let_go()
         rows = {(i, t): y for b in batches for i, t, y in zip(*(b.column(c).to_pylist() for c in ("_id", "_text", "_y")))}
         ordered = sorted(rows.items(), key=lambda x: (zlib.crc32(str(x[0][0]).encode()), x[0][1]))
         model = pickle.dumps(train([(t, y) for (_, t), y in ordered]))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, each
+from .common import cut, each, let_go
 from .decontaminate import words
 
 #: Words of a k-mer, least share of aligned k-mers, k-mers sampled for a band, bands, and bands a candidate pair agrees on.
@@ -118,6 +118,7 @@ def _sketches(rows: DataFrame) -> DataFrame:
     kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, id binary, keys array<long>"
 
     def run(batches):
+        let_go()
         hashes = WordHash()
         for b in batches:
             keys = [sketch(kmers(t, hashes)) for t in each(b.column("text"))]
@@ -130,6 +131,7 @@ def _sequences(rows: DataFrame) -> DataFrame:
     """id and its k-mers as 32-bit hashes; over two texts' thousands of k-mers a chance match is rarer than one in a hundred pairs, and worth one k-mer."""
 
     def run(batches):
+        let_go()
         hashes = WordHash()
         for b in batches:
             data = [(kmers(t, hashes) >> np.uint64(32)).astype("<u4").tobytes() for t in each(b.column("text"))]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each
+from .common import each, let_go
 from .tokens import encoder
 
 LENGTH, END_ID, GROUP_DOCS = 4096, 2, 4096
@@ -92,6 +92,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "_group") + ", sequence_id long, offset long"
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         rows = rows.sort_values(["length", "ids_crc32", "doc_id", "start"], ascending=[False, True, True, True], kind="stable", na_position="last").reset_index(drop=True)
         placed = pack(rows["length"].tolist(), length)
         rows["sequence_id"] = [(int(key[0]) << 32) + b for b, _ in placed]

@@ -12,8 +12,10 @@ import re
 
 import numpy as np
 
+from .common import keep
+
 #: Characters of kept units, and of kept pre-tokens; then the store starts anew. Longer ones than KEPT_UNIT aren't kept.
-KEPT, KEPT_UNIT = 8_000_000, 64
+KEPT, KEPT_UNIT = 4_000_000, 64
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
 
@@ -47,13 +49,24 @@ def checked(path: str, spaces_count: bool):
     return library
 
 
+class Units(dict):
+    """Ids of units; one that isn't here is found by ``find``, without a second look at the text's others."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, unit: str) -> bytes:
+        return self.find(unit)
+
+
 class UnitEncoder:
     """Encodes by the library, remembering units and pre-tokens."""
 
     def __init__(self, path: str, spaces_count: bool):
         self.library = checked(path, spaces_count)
         self.model, self.letters = self.library.model, byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.known = Units(self.unit)
         self.parts: dict[str, bytes] = {}
         self.sizes = [0, 0]
         self.spaces_count = spaces_count
@@ -95,18 +108,9 @@ class UnitEncoder:
 
     def packed(self, text: str) -> bytes:
         """All ids of a text as little-endian unsigned 32-bit numbers."""
-        units = self.units(text)
-        try:
-            return b"".join(map(self.known.__getitem__, units))
-        except KeyError:
-            return b"".join(map(self.unit, units))
-
-
-_encoders: dict[tuple[str, bool], UnitEncoder] = {}
+        return b"".join(map(self.known.__getitem__, self.units(text)))
 
 
 def encoder(path: str, spaces_count: bool) -> UnitEncoder:
-    """One for each Python worker; its units outlast a task."""
-    if (path, spaces_count) not in _encoders:
-        _encoders[path, spaces_count] = UnitEncoder(path, spaces_count)
-    return _encoders[path, spaces_count]
+    """One for each Python worker; its units outlast a task, but not the stage (``common.let_go``)."""
+    return keep((path, spaces_count), lambda: UnitEncoder(path, spaces_count))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import each, held_out, label_sample, trained
+from .common import each, held_out, label_sample, let_go, trained
 
 THRESHOLD = 0.7
 #: Hashed character n-grams, their lengths and the size of their vectors.
@@ -204,6 +204,7 @@ def _scorer(spark: SparkSession, model: ToxicModel):
     told = spark.sparkContext.broadcast(model)
 
     def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         for batch in texts:
             yield pa.array([told.value.score(t) for t in each(batch)], pa.float64())
 

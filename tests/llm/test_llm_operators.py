@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spliceframe.llm import decontaminate, html_text, near_duplicates, packing, pii, quality_classifier, quality_rules, secrets, token_counts, tokens, toxicity
+from spliceframe.llm import common, decontaminate, html_text, near_duplicates, packing, pii, quality_classifier, quality_rules, secrets, token_counts, tokens, toxicity
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 SF = "/root/testdata/sf0.001"
@@ -59,6 +59,23 @@ def test_units_equal_the_library():
             assert by.packed(t) == np.array(by.ids(t), "<u4").tobytes(), ascii(t)
 
 
+def test_a_worker_lets_an_encoder_go():
+    import weakref
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    by = tokens.encoder(path, False)
+    assert tokens.encoder(path, False) is by
+    asked, ids = [], by.ids
+    by.ids = lambda unit: (asked.append(unit), ids(unit))[1]
+    # one new unit doesn't look the text's others up again, and both ways give the library's ids
+    assert by.packed("a b ß漢 a") == np.array(ids("a b ß漢 a"), "<u4").tobytes()
+    assert by.packed("a b 😀 a ß漢") == np.array(ids("a b 😀 a ß漢"), "<u4").tobytes() and asked == ["ß漢", "😀"]
+    gone = weakref.ref(by)
+    del by.ids, by, ids
+    common.let_go()
+    assert gone() is None
+
+
 def test_packing(docs, texts):
     from tokenizers import Tokenizer
 
