@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,8 @@ BUCKETS, GRAMS, SIZE = 1 << 18, (3, 4, 5, 6), 4
 BAG = 8
 #: Characters of the words that a worker remembers; characters of a word's pieces, which overlap so that no n-gram is lost.
 KEPT, PIECE = 5_000_000, 64
+#: Characters of texts that are scored together, and words whose n-grams are hashed together.
+TOGETHER, WORDS = 200_000, 20_000
 #: Largest step of a vector.
 RATE = 8.0
 #: Log-likelihood ratio, between documents of either label, that an n-gram needs to be trained; others stay at zero.
@@ -41,6 +43,48 @@ def grams(word: str) -> list[int]:
     return [zlib.crc32(x.encode()) % BUCKETS for x in dict.fromkeys([w, *data])]
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def _utf8(codes: np.ndarray) -> list[np.ndarray]:
+    """The first, second, third and fourth UTF-8 byte of each code point; 256 where it has none."""
+    size = np.searchsorted(np.array([0x80, 0x800, 0x10000], np.uint32), codes, "right")
+    if not size.any():
+        return [codes]
+    lead = np.array([0, 0xC0, 0xE0, 0xF0], np.uint32)[size] | codes >> (6 * size).astype(np.uint32)
+    rest = [np.where(size >= k, codes >> (6 * np.maximum(size - k, 0)).astype(np.uint32) & 0x3F | 0x80, np.uint32(256)) for k in range(1, int(size.max()) + 1)]
+    return [lead, *rest]
+
+
+def touched(words: list[str], told: np.ndarray) -> np.ndarray:
+    """Whether any bucket of ``grams`` of each piece is told: the hashes of all n-grams of all pieces, character by character."""
+    codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le"), np.uint32)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    word = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))
+    data = _utf8(codes)
+    found = np.fromiter((told[zlib.crc32(f"<{w}>".encode()) % BUCKETS] for w in words), bool, len(words))
+    at, state = np.arange(len(codes)), np.full(len(codes), 0xFFFFFFFF, np.uint32)
+    for n in range(1, max(GRAMS) + 1):
+        here = left[at] >= n
+        at, state = at[here], state[here]
+        state = _CRC[(state ^ data[0][at + n - 1]) & 0xFF] ^ state >> 8
+        for more in data[1:]:
+            byte = more[at + n - 1]
+            k = np.flatnonzero(byte < 256)
+            state[k] = _CRC[(state[k] ^ byte[k]) & 0xFF] ^ state[k] >> 8
+        if n in GRAMS:
+            found[word[at[told[~state % BUCKETS]]]] = True
+    return found
+
+
 class ToxicModel:
     """What scoring needs: each bucket's pull towards toxic (its vector times the softmax's difference) and the bias."""
 
@@ -54,30 +98,59 @@ class ToxicModel:
 
     def word(self, w: str) -> float:
         """The mean over a word's n-grams, over its pieces where it is very long."""
-        found = self.known.get(w)
-        if found is None:
-            each = [float(self.pull[grams(x)].mean()) for x in pieces(w)]
-            found = sum(each) / len(each)
-            if len(w) <= PIECE:
-                self.kept += len(w) + 16
-                if self.kept > KEPT:
-                    self.known.clear()
-                    self.kept = len(w) + 16
-                self.known[w] = found
-        return found
+        each = [float(self.pull[grams(x)].mean()) for x in pieces(w)]
+        return sum(each) / len(each)
+
+    def learn(self, words: list[str]) -> None:
+        """Pulls of words that aren't known. Few n-grams are trained: a word without any stands at zero, and only the others' n-grams are looked up."""
+        short = [w for w in words if len(w) <= PIECE]
+        self.known.update(dict.fromkeys(short, 0.0))
+        self.kept += sum(map(len, short)) + 16 * len(short)
+        for k in np.flatnonzero(touched(short, self.pull != 0)).tolist():
+            self.known[short[k]] = self.word(short[k])
+        self.known.update((w, self.word(w)) for w in words if len(w) > PIECE)
+
+    def pulls(self, words: list[str]) -> np.ndarray:
+        out = np.empty(len(words))
+        for k in range(0, len(words), WORDS):
+            some = words[k : k + WORDS]
+            if self.kept > KEPT:
+                self.known.clear()
+                self.kept = 0
+            fresh = [w for w in set(some) if w not in self.known]
+            if fresh:
+                self.learn(fresh)
+            out[k : k + len(some)] = list(map(self.known.__getitem__, some))
+            for w in fresh:
+                if len(w) > PIECE:
+                    del self.known[w]
+        return out
+
+    def _together(self, texts: list[str | None]) -> Iterator[float]:
+        words = [WORD(t.lower()) if t else [] for t in texts]
+        whole, end = self.pulls([w for x in words for w in x]), 0
+        for x in words:
+            pulls, end = whole[end : end + len(x)], end + len(x)
+            if len(pulls) <= self.bag:
+                best = sum(pulls.tolist()) / len(pulls) if len(pulls) else 0.0
+            else:
+                total = np.concatenate([[0.0], np.cumsum(pulls)])
+                best = float((total[self.bag :] - total[: -self.bag]).max()) / self.bag
+            yield float(1 / (1 + np.exp(-np.clip(best + self.bias, -30, 30))))
+
+    def scores(self, texts: Iterable[str | None]) -> Iterator[float]:
+        """Each text's score; some texts at a time, so that their unknown words are looked up together."""
+        some, size = [], 0
+        for t in texts:
+            some.append(t)
+            size += len(t or "")
+            if size >= TOGETHER:
+                yield from self._together(some)
+                some, size = [], 0
+        yield from self._together(some)
 
     def score(self, text: str | None) -> float:
-        words = WORD(text.lower()) if text else []
-        try:
-            pulls = list(map(self.known.__getitem__, words))
-        except KeyError:
-            pulls = list(map(self.word, words))
-        if len(pulls) <= self.bag:
-            best = sum(pulls) / len(pulls) if pulls else 0.0
-        else:
-            total = np.concatenate([[0.0], np.cumsum(np.array(pulls, np.float64))])
-            best = float((total[self.bag :] - total[: -self.bag]).max()) / self.bag
-        return float(1 / (1 + np.exp(-np.clip(best + self.bias, -30, 30))))
+        return next(self.scores([text]))
 
 
 def telling(own: list[np.ndarray], docs: np.ndarray, words: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -206,7 +279,7 @@ def _scorer(spark: SparkSession, model: ToxicModel):
     def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         let_go()
         for batch in texts:
-            yield pa.array([told.value.score(t) for t in each(batch)], pa.float64())
+            yield pa.array(told.value.scores(each(batch)), pa.float64())
 
     # not deterministic to Spark, so that a filter on the score doesn't score once more
     return F.arrow_udf(scores, "double").asNondeterministic()

@@ -414,6 +414,25 @@ def test_toxic_runs_begin_anywhere():
     assert 0 <= model.score("z" * 2_000_000) <= 1
 
 
+def test_only_words_with_a_trained_ngram_are_looked_up(monkeypatch):
+    r, pull = random.Random(5), np.zeros(toxicity.BUCKETS, np.float32)
+    for w in ("vile", "ßcum", "漢字", "é", "scoundrel😀"):
+        pull[toxicity.grams(w)[-1]] = r.uniform(-9, 9)
+    letters = "abcdeilmnorsuvßéñ漢字ſ𝒜0"
+    words = ["".join(r.choice(letters) for _ in range(r.randint(1, 14))) for _ in range(5000)] + ["vile", "evilest", "xßcumx", "漢字", "é", "a" * 62 + "vile" + "b" * 80, "z" * 64, "z" * 65]
+    want = [np.mean([float(pull[toxicity.grams(x)].mean()) for x in toxicity.pieces(w)]) for w in words]
+    texts = [" ".join(words[k : k + 40]) for k in range(0, len(words), 40)] + ["", None, "_ !"]
+    looked, grams = [], toxicity.grams
+    monkeypatch.setattr(toxicity, "grams", lambda w: looked.append(w) or grams(w))
+    model = toxicity.ToxicModel(pull, -1.0)
+    assert model.pulls(words).tolist() == want and sum(x != 0 for x in want) > 10
+    assert len(looked) < len(set(words)) / 5
+    monkeypatch.setattr(toxicity, "TOGETHER", 300)
+    monkeypatch.setattr(toxicity, "KEPT", 4000)
+    monkeypatch.setattr(toxicity, "WORDS", 7)
+    assert list(model.scores(texts)) == [toxicity.ToxicModel(pull, -1.0).score(t) for t in texts] and not any(len(w) > toxicity.PIECE for w in model.known)
+
+
 def test_empty_tables_and_foreign_columns(spark):
     own = {c: F.lit("own") for c in ("_row", "_id", "_key", "id", "keys", "kind", "start", "end", "host", "path", "shared", "_at", "found", "cue", "n_words")}
     docs = spark.createDataFrame([(1, "mail me: a.b@example.org or 10.0.0.1"), (2, None), (3, "")], "doc_id long, text string").withColumns(own)
