@@ -9,21 +9,24 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 
 import numpy as np
 
 from .common import keep
 
-#: Characters of kept units, and of kept pre-tokens; then the store starts anew. Longer ones than KEPT_UNIT aren't kept.
-KEPT, KEPT_UNIT = 4_000_000, 64
+#: Characters of kept units and pre-tokens together; then both stores start anew. Longer ones than KEPT_UNIT aren't kept.
+KEPT, KEPT_UNIT = 8_000_000, 64
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
 
 #: Units of these characters alone need no normalizer, and one expression finds their pre-tokens; others take the library's whole way.
 SIMPLE = re.compile(r"[ ]?[!#-&(-;=?-~A-Za-z0-9À-ÖØ-öø-ÿ]+").fullmatch
+#: Texts of simple units and dividing white space alone; where white space is dropped, one expression finds all their pre-tokens.
+PLAIN = re.compile(r"[ \n\r\t!#-&(-;=?-~A-Za-z0-9À-ÖØ-öø-ÿ]*").fullmatch
 #: The two files' pre-tokens of simple units: white space counts (digits run on), or it doesn't (each digit alone).
 SPACED = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ A-Za-z0-9À-ÖØ-öø-ÿ]+").findall
-BARE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^ A-Za-z0-9À-ÖØ-öø-ÿ]+").findall
+BARE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^ \n\r\tA-Za-z0-9À-ÖØ-öø-ÿ]+").findall
 
 
 def byte_letters() -> dict[int, str]:
@@ -49,8 +52,8 @@ def checked(path: str, spaces_count: bool):
     return library
 
 
-class Units(dict):
-    """Ids of units; one that isn't here is found by ``find``, without a second look at the text's others."""
+class Store(dict):
+    """Ids of units or of pre-tokens; one that isn't here is found by ``find``, without a second look at the text's others."""
 
     def __init__(self, find):
         super().__init__()
@@ -66,9 +69,7 @@ class UnitEncoder:
     def __init__(self, path: str, spaces_count: bool):
         self.library = checked(path, spaces_count)
         self.model, self.letters = self.library.model, byte_letters()
-        self.known = Units(self.unit)
-        self.parts: dict[str, bytes] = {}
-        self.sizes = [0, 0]
+        self.known, self.parts, self.size = Store(self.unit), Store(self.part), 0
         self.spaces_count = spaces_count
         #: Where white space is dropped, units need not carry it.
         self.split = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+").findall if spaces_count else str.split
@@ -77,30 +78,29 @@ class UnitEncoder:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def part(self, pretoken: str) -> bytes:
-        found = self.parts.get(pretoken)
-        if found is None:
-            coded = self.model.tokenize(pretoken.encode().decode("latin-1").translate(self.letters))
-            found = b"".join([t.id.to_bytes(4, "little") for t in coded])
-            if len(pretoken) <= KEPT_UNIT:
-                self._keep(0, self.parts, pretoken, found)
+        # printable ASCII stands for itself
+        letters = pretoken if pretoken.isascii() and pretoken[0] != " " else pretoken.encode().decode("latin-1").translate(self.letters)
+        coded = [t.id for t in self.model.tokenize(letters)]
+        found = struct.pack(f"<{len(coded)}I", *coded)
+        if len(pretoken) <= KEPT_UNIT:
+            self._keep(self.parts, pretoken, found)
         return found
 
-    def _keep(self, which: int, store: dict[str, bytes], key: str, value: bytes) -> None:
-        self.sizes[which] += len(key) + 16
-        if self.sizes[which] > KEPT:
-            store.clear()
-            self.sizes[which] = len(key) + 16
+    def _keep(self, store: Store, key: str, value: bytes) -> None:
+        self.size += len(key) + 16
+        if self.size > KEPT:
+            self.known.clear()
+            self.parts.clear()
+            self.size = len(key) + 16
         store[key] = value
 
     def unit(self, unit: str) -> bytes:
-        found = self.known.get(unit)
-        if found is None:
-            if not SIMPLE(unit):
-                found = np.array(self.ids(unit), "<u4").tobytes()
-            else:
-                found = b"".join(map(self.part, SPACED(unit) if self.spaces_count else BARE(unit.lower())))
-            if len(unit) <= KEPT_UNIT:
-                self._keep(1, self.known, unit, found)
+        if not SIMPLE(unit):
+            found = np.array(self.ids(unit), "<u4").tobytes()
+        else:
+            found = b"".join(map(self.parts.__getitem__, SPACED(unit) if self.spaces_count else BARE(unit.lower())))
+        if len(unit) <= KEPT_UNIT:
+            self._keep(self.known, unit, found)
         return found
 
     def units(self, text: str) -> list[str]:
@@ -108,6 +108,8 @@ class UnitEncoder:
 
     def packed(self, text: str) -> bytes:
         """All ids of a text as little-endian unsigned 32-bit numbers."""
+        if not self.spaces_count and PLAIN(text):
+            return b"".join(map(self.parts.__getitem__, BARE(text.lower())))
         return b"".join(map(self.known.__getitem__, self.units(text)))
 
 

@@ -59,6 +59,18 @@ def test_units_equal_the_library():
             assert by.packed(t) == np.array(by.ids(t), "<u4").tobytes(), ascii(t)
 
 
+def test_plain_texts_keep_their_pretokens_once(monkeypatch):
+    by = tokens.UnitEncoder(public_tokenizers.path("word_bpe_49k.json"), False)
+    right = lambda t: by.packed(t) == np.array(by.ids(t), "<u4").tobytes()
+    assert right("The the, THE.\r\n\tthe\n") and not by.known and sorted(by.parts) == [",", ".", "the"]
+    # both stores together stay within one bound
+    monkeypatch.setattr(tokens, "KEPT", 300)
+    r = random.Random(8)
+    for _ in range(500):
+        assert right("".join(r.choice("abÀß12.,!$ \n\t\r") for _ in range(30)) + r.choice(["", " \"a\"", " 漢b"]))
+        assert sum(len(x) + 16 for x in [*by.known, *by.parts]) <= 300
+
+
 def test_a_worker_lets_an_encoder_go():
     import weakref
 
