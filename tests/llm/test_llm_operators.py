@@ -437,8 +437,8 @@ def test_only_words_with_a_trained_ngram_are_looked_up(monkeypatch):
     looked, grams = [], toxicity.grams
     monkeypatch.setattr(toxicity, "grams", lambda w: looked.append(w) or grams(w))
     model = toxicity.ToxicModel(pull, -1.0)
+    assert 0 < model.score(" ".join(words)) < 1 and len(looked) < len(set(words)) / 5
     assert model.pulls(words).tolist() == want and sum(x != 0 for x in want) > 10
-    assert len(looked) < len(set(words)) / 5
     monkeypatch.setattr(toxicity, "TOGETHER", 300)
     monkeypatch.setattr(toxicity, "KEPT", 4000)
     monkeypatch.setattr(toxicity, "WORDS", 7)
