@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
+import os
 import pickle
 import re
 import zlib
@@ -54,6 +57,26 @@ def let_go() -> None:
     if _kept:
         _kept.clear()
         gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Returns to the system what this process has freed: Arrow's pool keeps it, and so does the C heap, where small arrays and strings lie scattered."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None  # of the GNU C library alone
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function, after whose last batch the Python worker, which outlives the task, gives back what is free."""
+
+    @functools.wraps(run)
+    def tidied(batches):
+        yield from run(batches)
+        give_back()
+
+    return tidied
 
 
 def each(column: pa.Array) -> Iterator:
@@ -85,6 +108,7 @@ def trained(sample: DataFrame, train: Callable[[list[tuple[str, int]]], object])
     Rows are ordered by a hash of id and text, repeated ones dropped, so the model doesn't depend on partitioning.
     """
 
+    @tidy
     def run(batches):
         let_go()
         rows = {(i, t): y for b in batches for i, t, y in zip(*(b.column(c).to_pylist() for c in ("_id", "_text", "_y")))}

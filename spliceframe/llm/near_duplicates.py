@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, each, let_go
+from .common import cut, each, let_go, tidy
 from .decontaminate import words
 
 #: Words of a k-mer, least share of aligned k-mers, k-mers sampled for a band, bands, and bands a candidate pair agrees on.
@@ -117,6 +117,7 @@ def _with_id(docs: DataFrame) -> DataFrame:
 def _sketches(rows: DataFrame) -> DataFrame:
     kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, id binary, keys array<long>"
 
+    @tidy
     def run(batches):
         let_go()
         hashes = WordHash()
@@ -130,6 +131,7 @@ def _sketches(rows: DataFrame) -> DataFrame:
 def _sequences(rows: DataFrame) -> DataFrame:
     """id and its k-mers as 32-bit hashes; over two texts' thousands of k-mers a chance match is rarer than one in a hundred pairs, and worth one k-mer."""
 
+    @tidy
     def run(batches):
         let_go()
         hashes = WordHash()

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each, let_go
+from .common import each, let_go, tidy
 from .tokens import encoder
 
 LENGTH, END_ID, GROUP_DOCS = 4096, 2, 4096
@@ -56,6 +56,7 @@ def pieces(docs: DataFrame, tokenizer: str, groups: int, length: int = LENGTH, e
     kind = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, _group int".format(docs.schema["doc_id"].dataType.simpleString())
     end = end_id.to_bytes(4, "little")
 
+    @tidy
     def run(batches):
         by, row = encoder(tokenizer, False), 0
         for b in batches:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import each, held_out, label_sample, let_go, trained
+from .common import each, held_out, label_sample, let_go, tidy, trained
 
 THRESHOLD = 0.7
 #: Hashed character n-grams, their lengths and the size of their vectors.
@@ -153,20 +154,18 @@ class ToxicModel:
         return next(self.scores([text]))
 
 
-def telling(own: list[np.ndarray], docs: np.ndarray, words: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which buckets' shares of toxic documents differ from the sample's by more than chance."""
-    bags = np.unique(docs * len(own) + words)
-    counts = np.array([len(g) for g in own])
-    flat, starts = np.concatenate(own), np.concatenate([[0], np.cumsum(counts)])
+def telling(flat: np.ndarray, counts: np.ndarray, docs: np.ndarray, words: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which buckets' shares of toxic documents differ from the sample's by more than chance. flat: the words' buckets, counts of them each; docs ascend."""
+    starts = np.concatenate([[0], np.cumsum(counts)])
     n, k = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    d, w = bags // len(own), bags % len(own)
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(d)) + 1, [len(d)]])
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(docs)) + 1, [len(docs)]])
     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-        size = counts[w[a:b]]
-        at = np.repeat(starts[w[a:b]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        w = np.unique(words[a:b])
+        size = counts[w]
+        at = np.repeat(starts[w] - np.cumsum(size) + size, size) + np.arange(size.sum())
         here = np.unique(flat[at])
         n[here] += 1
-        k[here] += y[d[a]]
+        k[here] += y[docs[a]]
     p = y.mean()
     part = lambda x, expected: x * np.log(np.maximum(x, 1e-9) / np.maximum(expected, 1e-9))
     return (2 * (part(k, n * p) + part(n - k, n * (1 - p))) >= LEAST_RATIO) & (k > n * p)
@@ -179,41 +178,44 @@ def train(sample: list[tuple[str, int]], rounds: int = 80, seed: int = 7) -> Tox
     all scores are near zero.
     """
     vocabulary: dict[str, int] = {}
-    words, bag_of, doc_of_bag, labels = [], [], [], []
+    # as machine numbers: a sample's words are millions, and a list's arrays of a few numbers each cost more than the numbers
+    words, bag_of, doc_of_bag, labels = array("i"), array("i"), array("i"), []
     for d, (text, y) in enumerate(sample):
-        w = [vocabulary.setdefault(y, len(vocabulary)) for x in WORD(text.lower()) for y in pieces(x)]
+        w = array("i", [vocabulary.setdefault(y, len(vocabulary)) for x in WORD(text.lower()) for y in pieces(x)])
         labels.append(y)
         for k in range(0, len(w), BAG):
             words += w[k : k + BAG]
-            bag_of += [len(doc_of_bag)] * len(w[k : k + BAG])
+            bag_of += array("i", [len(doc_of_bag)]) * len(w[k : k + BAG])
             doc_of_bag.append(d)
     y = np.array(labels, np.int64)
     if len(doc_of_bag) == 0 or y.min() == y.max():
         return ToxicModel(np.zeros(BUCKETS), -6.0)
-    own = [np.array(grams(w), np.int32) for w in vocabulary]
-    whole = np.array([len(g) for g in own])
-    told = telling(own, np.array(doc_of_bag)[np.array(bag_of)], np.array(words), y)
-    own = [g[told[g]] for g in own]
-    if not any(len(g) for g in own):
+    flat, whole = array("i"), array("i")
+    for w in vocabulary:
+        own = grams(w)
+        flat.extend(own)
+        whole.append(len(own))
+    del vocabulary
+    words, bag_of, docs, flat, whole = (np.frombuffer(x, np.int32) for x in (words, bag_of, doc_of_bag, flat, whole))
+    told = telling(flat, whole, docs[bag_of], words, y)[flat]
+    if not told.any():
         return ToxicModel(np.zeros(BUCKETS), -6.0)
     # words without such an n-gram stand at zero: they count in a bag's size alone
-    place = np.cumsum([len(g) > 0 for g in own]) - 1
-    place[[len(g) == 0 for g in own]] = -1
+    counts = np.add.reduceat(told, np.cumsum(whole) - whole, dtype=np.int64)
+    place = np.where(counts > 0, np.cumsum(counts > 0) - 1, -1)
     sizes = np.bincount(bag_of)
     here = place[words] >= 0
-    bag_of, words, whole, own = np.array(bag_of)[here], place[words][here], whole[place >= 0], [g for g in own if len(g)]
-    counts = np.array([len(g) for g in own])
-    used, flat = np.unique(np.concatenate(own), return_inverse=True)
-    gram_word = np.repeat(np.arange(len(own)), counts)
+    bag_of, words, whole, counts = bag_of[here].astype(np.int64), place[words[here]], whole[counts > 0].astype(np.int64), counts[counts > 0]
+    used, flat = np.unique(flat[told], return_inverse=True)
+    gram_word = np.repeat(np.arange(len(counts)), counts)
     # a word is the mean of its n-grams, a bag the mean of its words; both as sorted segments
-    pairs, multiple = np.unique(bag_of * len(own) + words, return_counts=True)
-    pair_bag, pair_word = pairs // len(own), pairs % len(own)
+    pairs, multiple = np.unique(bag_of * len(counts) + words, return_counts=True)
+    pair_bag, pair_word = pairs // len(counts), pairs % len(counts)
     weight = (multiple / sizes[pair_bag]).astype(np.float32)[:, None]
     by_word = np.argsort(pair_word, kind="stable")
     by_gram = np.argsort(flat, kind="stable")
     first = lambda x: np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
     bag_at, word_at, gram_at, own_at = first(pair_bag), first(pair_word[by_word]), first(flat[by_gram]), np.concatenate([[0], np.cumsum(counts)[:-1]])
-    docs = np.array(doc_of_bag)
     doc_at = first(docs)
     scale = (1 / whole).astype(np.float32)[:, None]
     rng = np.random.default_rng(seed)
@@ -276,6 +278,7 @@ def _scorer(spark: SparkSession, model: ToxicModel):
     """Rows stay in Spark's own queue, which spills; text alone goes to Python and scores alone come back."""
     told = spark.sparkContext.broadcast(model)
 
+    @tidy
     def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         let_go()
         for batch in texts:

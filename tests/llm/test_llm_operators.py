@@ -88,6 +88,43 @@ def test_a_worker_lets_an_encoder_go():
     assert gone() is None
 
 
+def test_a_worker_gives_back_what_it_has_freed():
+    import ctypes
+
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("only the GNU C library can be asked to")
+    held: list = []
+
+    def freed() -> int:
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(x.split()[1]) // 1024 for x in f if x.startswith("Pss_Anon"))
+
+    def scatter() -> None:
+        # 160 MB of small arrays; one that stays behind them keeps the heap from shrinking by itself
+        some = [np.ones(1000) for _ in range(20_000)]
+        held.append(np.ones(1000))
+        some.clear()
+
+    before = freed()
+    scatter()
+    common.let_go()
+    assert freed() - before < 60
+    assert list(common.tidy(lambda batches: (scatter() or b for b in batches))([1])) == [1]
+    assert freed() - before < 60
+
+
+def test_toxicity_is_trained_in_little_memory():
+    import tracemalloc
+
+    r = random.Random(3)
+    sample = [(" ".join(f"w{r.randrange(20_000)}" for _ in range(1500)) + " you vile scum" * k, k) for k in (0, 1) for _ in range(60)]
+    tracemalloc.start()
+    model = toxicity.train(sample, rounds=1)
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert model.pull.any() and peak < 27, peak
+
+
 def test_packing(docs, texts):
     from tokenizers import Tokenizer
 
